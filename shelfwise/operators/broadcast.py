@@ -1,0 +1,23 @@
+"""Broadcast only behind a size check.
+
+``bounded_broadcast`` proves the bound with a capped count (``limit(n+1)``,
+so the check itself stops early on a large input) and only then hints
+``broadcast``; beyond the bound it returns the input unchanged and the join
+stays a shuffle join (AQE may still pick broadcast at runtime from real
+shuffle statistics, which is also a checked size).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 1_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
