@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.operators import quality
 from shelfwise.plans import insights as ins
 from shelfwise.plans import models as m
 from shelfwise.session import apply_runtime_conf
@@ -127,3 +128,35 @@ _view_query("high_demand_products", ins.high_demand_products)
 _view_query("stock_by_risk", ins.stock_by_risk)
 _view_query("critical_products", ins.critical_products)
 _view_query("supplier_list", ins.supplier_list)
+
+
+# -- step 4: data quality ----------------------------------------------------------
+
+def _tables(spark, sf_dir):
+    return marts(spark, sf_dir).tables()
+
+
+def _check_query(name: str, check_kind: str | None):
+    @register(name)
+    def _q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        checks = quality.SUITE if check_kind is None else quality.kind(quality.SUITE, check_kind)
+        return quality.summary(_tables(spark, sf_dir), checks)
+    return _q
+
+
+_check_query("check_not_null", "not_null")
+_check_query("check_unique", "unique")
+_check_query("check_accepted_values", "accepted_values")
+_check_query("check_accepted_range", "accepted_range")
+_check_query("check_relationships", "relationships")
+_check_query("check_summary", None)
+
+
+@register("check_unique_combo")
+def q_check_unique_combo(spark, sf_dir):
+    """Violating (product_id, ingestion_time) groups of staging and fact."""
+    tables = _tables(spark, sf_dir)
+    parts = [ch.violations(tables).select(F.lit(ch.table).alias("table_name"), "product_id",
+                                          "ingestion_time", "n_records")
+             for ch in quality.kind(quality.SUITE, "unique_combination")]
+    return parts[0].unionByName(parts[1])

@@ -23,6 +23,7 @@ BASE_CONF = {
     # MAX/MIN/COUNT answered from parquet footers where possible (watermarks)
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -51,7 +52,7 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Runtime-settable subset of BASE_CONF, for sessions built elsewhere
     (e.g. the driver's). Static settings are left alone."""
     for k, v in BASE_CONF.items():
-        if k == "spark.ui.enabled":
+        if k.startswith("spark.ui."):
             continue
         try:
             spark.conf.set(k, v)
