@@ -7,6 +7,7 @@ builds its answer with the library's own plans; nothing is sampled or capped
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,8 +16,13 @@ from pyspark.sql import functions as F
 from shelfwise.operators import quality
 from shelfwise.plans import insights as ins
 from shelfwise.plans import models as m
-from shelfwise.session import apply_runtime_conf
+from shelfwise.plans import pipeline
+from shelfwise.schemas import FLAT_COLUMNS
+from shelfwise.session import apply_runtime_conf, scratch_dir
+from shelfwise.sources import files, landing
 from shelfwise.sources.testdata import raw_products
+from shelfwise.sources.warehouse import Warehouse
+from shelfwise.streaming import microbatch
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -160,3 +166,164 @@ def q_check_unique_combo(spark, sf_dir):
                                           "ingestion_time", "n_records")
              for ch in quality.kind(quality.SUITE, "unique_combination")]
     return parts[0].unionByName(parts[1])
+
+
+# -- step 5: landing ------------------------------------------------------------------
+
+def _landed(spark, sf_dir, raw: DataFrame | None = None) -> str:
+    """Land the adapter snapshots as envelope files (one envelope per line,
+    one product per envelope, as the source API returns them)."""
+    path = scratch_dir(spark, "landing")
+    landing.to_envelopes(raw if raw is not None else raw_products(spark, sf_dir)).write.text(path)
+    return path
+
+
+def _flattened(spark, sf_dir):
+    apply_runtime_conf(spark)
+    text = landing.read_landing(spark, _landed(spark, sf_dir), layout="lines")
+    return landing.flatten_text(text)
+
+
+@register("flatten_envelopes")
+def q_flatten(spark, sf_dir):
+    return _flattened(spark, sf_dir)[0]
+
+
+@register("flatten_rejects")
+def q_flatten_rejects(spark, sf_dir):
+    return _flattened(spark, sf_dir)[1]
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """Flattened rows -> header CSV -> typed CSV source."""
+    rows, _ = _flattened(spark, sf_dir)
+    path = scratch_dir(spark, "csv")
+    files.write_csv(rows, path)
+    return files.read_csv(spark, path)
+
+
+# Scenario cuts. Late-data loads arrive by restock (order) date;
+# the pipeline loads arrive in ingestion-time order.
+RESTOCK_CUT = dt.datetime(1997, 1, 1)
+ARRIVAL_CUTS = [dt.datetime(1997, 1, 1), dt.datetime(1999, 1, 1)]
+
+
+def _split(raw: DataFrame, column: str, cuts: list[dt.datetime]) -> list[DataFrame]:
+    """Every row in exactly one load: [-inf, c1), [c1, c2), ..., [cn, inf)."""
+    bounds = [None] + [F.lit(c).cast("timestamp_ntz") for c in cuts] + [None]
+    out = []
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (F.col(column) >= lo)
+        if hi is not None:
+            cond = cond & (F.col(column) < hi)
+        out.append(raw.filter(cond))
+    return out
+
+
+def _loads(spark, sf_dir) -> list[DataFrame]:
+    """Two loads split by restock date: the second holds many snapshots
+    older than the first load's newest one (late data)."""
+    return _split(raw_products(spark, sf_dir), "stock_last_restocked", [RESTOCK_CUT])
+
+
+def _arrival_loads(spark, sf_dir) -> list[DataFrame]:
+    """Three loads in ingestion-time order, every row once."""
+    return _split(raw_products(spark, sf_dir), "ingestion_time", ARRIVAL_CUTS)
+
+
+@register("append_loads")
+def q_append_loads(spark, sf_dir):
+    """Two appends into one raw table (created by the first)."""
+    apply_runtime_conf(spark)
+    path = scratch_dir(spark, "raw-append")
+    for load in _loads(spark, sf_dir):
+        files.append_load(load, path)
+    return spark.read.parquet(path)
+
+
+@register("run_id_paths")
+def q_run_id_paths(spark, sf_dir):
+    """One landed CSV per run id, path segment sanitized; read back and
+    counted per run."""
+    apply_runtime_conf(spark)
+    raw = raw_products(spark, sf_dir)
+    run_id = F.concat(F.lit("scheduled__"), F.date_format("ingestion_time", "yyyy-MM-dd'T'HH:mm:ss'+00:00'"))
+    base = scratch_dir(spark, "runs")
+    files.land_runs(raw.select(*FLAT_COLUMNS, "ingestion_time"), base, run_id)
+    back = files.read_runs(spark, base)
+    return (back.groupBy(F.col("run_id").alias("sanitized_run_id"))
+                .agg(F.count(F.lit(1)).alias("n_rows"))
+                .withColumn("object_path", files.object_path("sanitized_run_id")))
+
+
+# -- step 6: incremental and streaming ---------------------------------------------------
+
+_INCREMENTAL_RUNS: dict[tuple, Warehouse] = {}
+
+
+def incremental_run(spark, sf_dir) -> Warehouse:
+    """The three arrival-ordered loads through ``run_batch``; built once per
+    session and source directory."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INCREMENTAL_RUNS:
+        apply_runtime_conf(spark)
+        wh = Warehouse(spark, scratch_dir(spark, "warehouse"))
+        for i, load in enumerate(_arrival_loads(spark, sf_dir)):
+            pipeline.run_batch(spark, wh, load, load_id=f"load-{i + 1}")
+        _INCREMENTAL_RUNS[key] = wh
+    return _INCREMENTAL_RUNS[key]
+
+
+@register("incremental_stg")
+def q_incremental_stg(spark, sf_dir):
+    return pipeline.table(incremental_run(spark, sf_dir), pipeline.STG)
+
+
+@register("incremental_int")
+def q_incremental_int(spark, sf_dir):
+    return pipeline.table(incremental_run(spark, sf_dir), pipeline.INT)
+
+
+@register("incremental_fct")
+def q_incremental_fct(spark, sf_dir):
+    return pipeline.table(incremental_run(spark, sf_dir), pipeline.FCT)
+
+
+@register("dims_refresh")
+def q_dims_refresh(spark, sf_dir):
+    return pipeline.table(incremental_run(spark, sf_dir), pipeline.DIM_P)
+
+
+@register("late_rows")
+def q_late_rows(spark, sf_dir):
+    """Rows of the second load older than the staging watermark left by the
+    first load: stored in raw, never merged."""
+    apply_runtime_conf(spark)
+    first, second = _loads(spark, sf_dir)
+    wm = first.agg(F.max("ingestion_time").alias("wm")).first()["wm"]
+    return pipeline.late_rows(second, wm, inclusive=True).select("sku", "ingestion_time", "stock_last_restocked")
+
+
+# Fixed value: cut between the two landing phases of the streaming scenario.
+STREAM_CUT = dt.datetime(1998, 1, 1)
+
+
+@register("stream_microbatch")
+def q_stream_microbatch(spark, sf_dir):
+    """Envelopes land in two phases; a streaming query (availableNow) drains
+    each phase from the same checkpoint, so the second run only sees the new
+    files. Arrival is in time order, so the result equals a full refresh
+    of the accepted rows."""
+    apply_runtime_conf(spark)
+    raw = raw_products(spark, sf_dir)
+    cut = F.lit(STREAM_CUT).cast("timestamp_ntz")
+    land = scratch_dir(spark, "stream-landing")
+    wh = Warehouse(spark, scratch_dir(spark, "stream-warehouse"))
+    ckpt = scratch_dir(spark, "stream-checkpoint")
+    for phase in (raw.filter(F.col("ingestion_time") < cut), raw.filter(F.col("ingestion_time") >= cut)):
+        landing.to_envelopes(phase).write.mode("append").text(land)
+        microbatch.drain(spark, land, wh, ckpt)
+    return pipeline.table(wh, pipeline.FCT)

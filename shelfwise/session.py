@@ -48,12 +48,26 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def local_conf(parallelism: int) -> dict:
+    """Single-machine tuning only. Partition discovery otherwise launches one
+    listing task per directory (thousands of tiny tasks for a date-partitioned
+    table), and AQE would coalesce a small partitioned write into one task
+    that opens every partition's file in turn. On a cluster the defaults are
+    right and none of this is applied."""
+    return {
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(parallelism),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+    }
+
+
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Runtime-settable subset of BASE_CONF, for sessions built elsewhere
     (e.g. the driver's). Static settings are left alone."""
-    for k, v in BASE_CONF.items():
-        if k.startswith("spark.ui."):
-            continue
+    conf = {k: v for k, v in BASE_CONF.items() if not k.startswith("spark.ui.")}
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        conf.update(local_conf(sc.defaultParallelism))
+    for k, v in conf.items():
         try:
             spark.conf.set(k, v)
         except Exception:  # static or locked conf: keep the cluster's choice
