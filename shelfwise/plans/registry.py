@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.functions import signals
 from shelfwise.operators import quality
 from shelfwise.plans import insights as ins
 from shelfwise.plans import models as m
@@ -327,3 +328,42 @@ def q_stream_microbatch(spark, sf_dir):
         landing.to_envelopes(phase).write.mode("append").text(land)
         microbatch.drain(spark, land, wh, ckpt)
     return pipeline.table(wh, pipeline.FCT)
+
+
+# Fixed value: the supplier chosen in the dashboard's filter control for the
+# filtered-view query ("All" would mean no filter).
+FILTER_SUPPLIER = "Supplier#000000001"
+
+
+@register("supplier_filtered")
+def q_supplier_filtered(spark, sf_dir):
+    """The cleaned view (NULL supplier / product name dropped) for one
+    supplier."""
+    return view(spark, sf_dir, supplier=FILTER_SUPPLIER)
+
+
+# -- step 7: metrics specified in the design text ----------------------------------------
+
+@register("low_stock_reorder")
+def q_low_stock_reorder(spark, sf_dir):
+    fct = marts(spark, sf_dir).fct
+    return fct.select("product_id", "ingestion_time", "stock_quantity", "reorder_point",
+                      signals.low_stock_flag().alias("low_stock_flag"))
+
+
+@register("price_gap")
+def q_price_gap(spark, sf_dir):
+    fct = marts(spark, sf_dir).fct
+    return fct.select("product_id", "ingestion_time", "msrp", "sale_price", signals.price_gap().alias("price_gap"))
+
+
+@register("demand_low_stock")
+def q_demand_low_stock(spark, sf_dir):
+    fct = marts(spark, sf_dir).fct
+    return fct.select("product_id", "ingestion_time", "high_demand_flag", "alert_flag",
+                      signals.high_demand_low_stock_flag().alias("high_demand_low_stock_flag"))
+
+
+@register("dim_dates_ext")
+def q_dim_dates_ext(spark, sf_dir):
+    return m.dim_dates_extended(marts(spark, sf_dir).stg)
