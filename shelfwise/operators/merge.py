@@ -86,10 +86,17 @@ def watermark_filter(df: DataFrame, wm: dt.datetime, inclusive: bool) -> DataFra
 
 def incremental_merge(spark: SparkSession, wh: Warehouse, table: str, source: DataFrame,
                       model: Callable[[DataFrame], DataFrame], keys: Sequence[str], columns: Sequence[str],
-                      inclusive: bool, fail_on_duplicate_match: bool = True) -> MergeResult:
+                      inclusive: bool, fail_on_duplicate_match: bool = False) -> MergeResult:
     """Run ``model`` on the new part of ``source`` and upsert it into
     ``table``. ``source`` may carry partition columns (they enable pruning);
-    ``model`` must return exactly ``columns``."""
+    ``model`` must return exactly ``columns``.
+
+    Matched keys use delete+insert: every target row with a delta key is
+    replaced by all delta rows with that key. The inclusive watermark
+    re-selects the source rows at exactly ``wm`` on every run, so a key
+    duplicated at that instant meets itself again; a warehouse MERGE aborts
+    there (and on every later run), delete+insert leaves the rows as they
+    were. ``fail_on_duplicate_match=True`` restores the abort."""
     if not wh.exists(table):
         out = with_partition(model(source).select(*columns))
         wh.write_partitioned(table, out)
