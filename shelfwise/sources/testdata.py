@@ -27,9 +27,26 @@ from shelfwise.schemas import RAW_COLUMNS
 GEO_MAX_ROWS = 10_000
 
 
+# The two fact-sized inputs; the others are dimensions.
+SPREAD_TABLES = ("lineitem", "orders")
+
+
+def spread_if_narrow(df: DataFrame, min_partitions: int) -> DataFrame:
+    """Round-robin an input whose scan yields fewer splits than the cluster
+    can run at once (a single-row-group file is one split, and everything up
+    to the first shuffle would run in one task). Large inputs already have
+    many splits and are returned untouched, so this never adds a shuffle at
+    scale."""
+    n = df.rdd.getNumPartitions()
+    return df.repartition(min_partitions) if n < min_partitions else df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    if name in SPREAD_TABLES:
+        df = spread_if_narrow(df, spark.sparkContext.defaultParallelism)
+    return df
 
 
 def stock_status_from_flags(returnflag: str = "l_returnflag", linestatus: str = "l_linestatus"):
