@@ -91,12 +91,22 @@ def dim_dates_extended(stg: DataFrame) -> DataFrame:
 
 
 class Marts:
-    """All models of one snapshot source, built lazily from a raw DataFrame."""
+    """All models of one snapshot source, built lazily from a raw DataFrame.
 
-    def __init__(self, raw: DataFrame):
+    ``materialize=True`` is for consumers that read many layers at once (the
+    check suite): raw and the signal layer are checkpointed to the shared
+    folder once, so the source join and the dedup shuffle run once instead of
+    once per consuming branch."""
+
+    def __init__(self, raw: DataFrame, materialize: bool = False):
+        if materialize:
+            from shelfwise.session import cut_lineage
+            raw = cut_lineage(raw, "raw")
         self.raw = raw
         self.stg = stg_products(raw)
         self.int = int_inventory_signals(self.stg)
+        if materialize:
+            self.int = cut_lineage(self.int, "int")
         self.fct = fct_inventory(self.int)
         self.dim_products = dim_products(self.stg)
         self.dim_suppliers = dim_suppliers(self.stg)

@@ -140,6 +140,10 @@ _view_query("supplier_list", ins.supplier_list)
 # -- step 4: data quality ----------------------------------------------------------
 
 def _tables(spark, sf_dir):
+    """All seven layer tables as lazy plans. (In the pipeline the checks read
+    the written layer tables; here, on the small driver tables, recomputing
+    the shared source per branch is cheaper than writing it once, measured:
+    ~11 s lazy vs ~21 s with ``Marts(materialize=True)`` at sf0.1.)"""
     return marts(spark, sf_dir).tables()
 
 

@@ -74,6 +74,23 @@ def apply_runtime_conf(spark: SparkSession) -> None:
             pass
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder (see ``scratch_dir``)."""
+    return scratch_dir(spark, "ckpt").rsplit("/", 1)[0]
+
+
+def cut_lineage(df, name: str = "cut"):
+    """Write ``df`` as a Parquet table in the shared folder and read it back:
+    later plans read the written result instead of recomputing (and
+    re-shuffling) its lineage, it survives lost executors (never
+    ``localCheckpoint``), and unlike an RDD checkpoint it stays columnar, so
+    readers keep column pruning and filter push-down."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh directory under the shared checkpoint location.
 
