@@ -37,6 +37,9 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # One listed DataFrame per table until this Warehouse writes it again:
+        # listing a date-partitioned table walks every partition directory.
+        self._reads: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:
         layer, name = table.split(".", 1)
@@ -44,7 +47,7 @@ class Warehouse:
 
     def exists(self, table: str) -> bool:
         try:
-            self.spark.read.parquet(self.path(table)).schema  # noqa: B018
+            self.read(table)
             return True
         except AnalysisException:
             return False
@@ -52,7 +55,12 @@ class Warehouse:
     def read(self, table: str) -> DataFrame:
         """Table with its partition columns (``ingestion_date``, and
         ``load_id`` for the raw layer)."""
-        return self.spark.read.parquet(self.path(table))
+        if table not in self._reads:
+            self._reads[table] = self.spark.read.parquet(self.path(table))
+        return self._reads[table]
+
+    def _written(self, table: str) -> None:
+        self._reads.pop(table, None)
 
     def read_model(self, table: str, columns: list[str]) -> DataFrame:
         return self.read(table).select(*columns)
@@ -64,22 +72,26 @@ class Warehouse:
         retried load (same id) replaces itself instead of appending twice."""
         (clustered(with_partition(df)).write.mode("overwrite").partitionBy(PARTITION_COLUMN)
             .parquet(f"{self.path(table)}/{LOAD_COLUMN}={load_id}"))
+        self._written(table)
 
     def write_partitioned(self, table: str, df: DataFrame) -> None:
         """Dynamic partition overwrite: only the dates present in ``df`` are
         replaced; ``df`` must already carry ``ingestion_date``."""
         (clustered(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(PARTITION_COLUMN).parquet(self.path(table)))
+        self._written(table)
 
     def append_partitioned(self, table: str, df: DataFrame) -> None:
         """Append new files; a failed job leaves nothing behind (files appear
         at job commit), and a re-run after a committed append finds the rows
         already past the watermark, so it appends nothing again."""
         clustered(df).write.mode("append").partitionBy(PARTITION_COLUMN).parquet(self.path(table))
+        self._written(table)
 
     def overwrite(self, table: str, df: DataFrame) -> None:
         """Full refresh of an unpartitioned table (dimensions)."""
         df.write.mode("overwrite").parquet(self.path(table))
+        self._written(table)
 
     def register(self, table: str) -> None:
         """Expose as ``layer.table`` in the session catalog."""
