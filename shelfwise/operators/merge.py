@@ -14,9 +14,11 @@ maximum, a delta row can only match target rows with ``ingestion_time = wm``:
 
 * strict watermark (``> wm``): nothing can match, the merge is an append;
 * inclusive (``>= wm``): only rows at exactly ``wm`` can match. When no delta
-  key matches one of them (the usual case) it is again an append; otherwise
-  the partition ``date(wm)`` is rewritten together with the new dates
-  (dynamic partition overwrite). History is never read or rewritten.
+  key matches one of them, or every matched key comes back with exactly the
+  rows already stored (the re-selected rows of a replay), it is again an
+  append of the new rows; otherwise the partition ``date(wm)`` is rewritten
+  together with the new dates (dynamic partition overwrite). History is
+  never read or rewritten.
 
 So a batch costs O(batch), not O(table) or O(day).
 
@@ -55,6 +57,8 @@ class MergeResult:
     full_load: bool
     watermark: dt.datetime | None
     delta_rows: int
+    appended: bool = True          # False when matched keys forced a partition rewrite
+    delta_path: str | None = None  # the written delta (model columns + ingestion_date)
 
 
 def high_watermark(target: DataFrame, default: dt.datetime = DEFAULT_WATERMARK) -> dt.datetime:
@@ -113,21 +117,37 @@ def incremental_merge(spark: SparkSession, wh: Warehouse, table: str, source: Da
     if n_delta == 0:
         return MergeResult(table, False, wm, 0)
 
-    at_wm = (target.filter(F.col(PARTITION_COLUMN) == F.lit(wm.date()))
-                   .filter(F.col(TS) == F.lit(wm).cast("timestamp_ntz")))
-    if not inclusive or delta.filter(F.col(TS) == F.lit(wm).cast("timestamp_ntz")).join(
-            at_wm.select(*keys), list(keys), "left_semi").isEmpty():
+    wm_lit = F.lit(wm).cast("timestamp_ntz")
+    at_wm = (target.filter(F.col(PARTITION_COLUMN) == F.lit(wm.date())).filter(F.col(TS) == wm_lit)
+                   .select(*columns))
+    if not inclusive:
         wh.append_partitioned(table, delta.select(*columns, PARTITION_COLUMN))
-        return MergeResult(table, False, wm, n_delta)
+        return MergeResult(table, False, wm, n_delta, True, delta_path)
 
-    tail = target.filter(F.col(PARTITION_COLUMN) >= F.lit(wm.date())).select(*columns, PARTITION_COLUMN)
+    delta_wm = delta.filter(F.col(TS) == wm_lit).select(*columns)
+    matched = delta_wm.select(*keys).distinct().join(at_wm.select(*keys).distinct(), list(keys))
     if fail_on_duplicate_match:
         dup = (delta.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-                    .join(tail.select(*keys), list(keys), "left_semi"))
+                    .join(matched, list(keys), "left_semi"))
         if not dup.isEmpty():
             raise DuplicateMatchError(f"{table}: several source rows match one target row")
+    if matched.isEmpty():
+        wh.append_partitioned(table, delta.select(*columns, PARTITION_COLUMN))
+        return MergeResult(table, False, wm, n_delta, True, delta_path)
+    # The inclusive watermark re-selects the source rows at exactly ``wm`` on
+    # every run. When the re-selected rows of every matched key equal the
+    # stored ones (same multiset, NULL-safe), replacing them changes nothing:
+    # append only the unmatched rows. Only rows at one instant are compared.
+    d_m = delta_wm.join(matched, list(keys), "left_semi")
+    t_m = at_wm.join(matched, list(keys), "left_semi")
+    if d_m.exceptAll(t_m).isEmpty() and t_m.exceptAll(d_m).isEmpty():
+        new_rows = delta.join(matched, list(keys), "left_anti").select(*columns, PARTITION_COLUMN)
+        wh.append_partitioned(table, new_rows)
+        return MergeResult(table, False, wm, n_delta, True, delta_path)
+
+    tail = target.filter(F.col(PARTITION_COLUMN) >= F.lit(wm.date())).select(*columns, PARTITION_COLUMN)
     keep = tail.join(delta.select(*keys).distinct(), list(keys), "left_anti")
     merged_path = scratch_dir(spark, "merged")
     keep.unionByName(delta.select(*columns, PARTITION_COLUMN)).write.mode("overwrite").parquet(merged_path)
     wh.write_partitioned(table, spark.read.parquet(merged_path))
-    return MergeResult(table, False, wm, n_delta)
+    return MergeResult(table, False, wm, n_delta, False, delta_path)

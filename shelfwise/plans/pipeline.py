@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators import quality
+from shelfwise.operators.dedup import top1_per_key
 from shelfwise.operators.merge import MergeResult, high_watermark, incremental_merge, late_filter
 from shelfwise.plans import models as m
 from shelfwise.schemas import (DIM_DATES_COLUMNS, DIM_PRODUCTS_COLUMNS, DIM_SUPPLIERS_COLUMNS, FCT_COLUMNS,
                                FCT_KEY, INT_COLUMNS, INT_KEY, RAW_COLUMNS, STG_COLUMNS, STG_KEY)
+from shelfwise.session import cut_lineage
 from shelfwise.sources.warehouse import Warehouse
 
 RAW = "raw.products"
@@ -69,28 +71,60 @@ def run_batch(spark: SparkSession, wh: Warehouse, raw_batch: DataFrame, load_id:
 
     wh.write_load(RAW, raw_batch, load_id)
 
-    res.merges.append(incremental_merge(spark, wh, STG, wh.read(RAW), m.stg_products, STG_KEY, STG_COLUMNS,
-                                        inclusive=True))
+    stg_merge = incremental_merge(spark, wh, STG, wh.read(RAW), m.stg_products, STG_KEY, STG_COLUMNS,
+                                  inclusive=True)
+    res.merges.append(stg_merge)
     res.merges.append(incremental_merge(spark, wh, INT, wh.read(STG), m.int_inventory_signals, INT_KEY,
                                         INT_COLUMNS, inclusive=False))
     res.merges.append(incremental_merge(spark, wh, FCT, wh.read(INT), m.fct_inventory, FCT_KEY, FCT_COLUMNS,
                                         inclusive=False))
-    refresh_dims(wh)
+    if stg_merge.appended and stg_merge.delta_path and all(wh.exists(d) for d in (DIM_P, DIM_S, DIM_D)):
+        extend_dims(spark, wh, spark.read.parquet(stg_merge.delta_path))
+    else:
+        refresh_dims(wh)
     if run_checks:
         res.checks = quality.summary(tables(wh)).collect()
     return res
 
 
+# Dimension tables physically keep the winning row's ingestion time (a column
+# consumers never see: ``table()`` projects the model columns) so that they
+# can be extended from a staging delta.
+DIM_STATE = {DIM_P: ("product_id", m.DIM_PRODUCTS_TIE_BREAK),
+             DIM_S: ("supplier_name", m.DIM_SUPPLIERS_TIE_BREAK)}
+
+
+def _latest(src: DataFrame, name: str) -> DataFrame:
+    key, tie = DIM_STATE[name]
+    return top1_per_key(src.select(*LAYER_COLUMNS[name], "ingestion_time"), [key],
+                        primary=[F.col("ingestion_time").desc_nulls_last()], tie_break=tie)
+
+
 def refresh_dims(wh: Warehouse) -> None:
-    """Dimensions are rebuilt from all of staging every run; each is a
-    top-1-per-key or a distinct, with partial aggregation before the
-    shuffle, so the shuffle carries about one row per key per map task."""
+    """Full rebuild from all of staging (the model's definition): a
+    top-1-per-key or a distinct each, partially aggregated before the
+    shuffle, so the shuffle carries about one row per key and map task."""
     stg = table(wh, STG)
-    wh.overwrite(DIM_P, m.dim_products(stg))
-    wh.overwrite(DIM_S, m.dim_suppliers(stg))
+    wh.overwrite(DIM_P, _latest(stg, DIM_P))
+    wh.overwrite(DIM_S, _latest(stg, DIM_S))
     wh.overwrite(DIM_D, m.dim_dates(stg))
 
 
+def extend_dims(spark: SparkSession, wh: Warehouse, stg_delta: DataFrame) -> None:
+    """Same result as ``refresh_dims`` at O(dimension + batch) cost, valid
+    when staging only grew (the staging merge appended): the latest row per
+    key over all of staging is the latest of (current winner, new rows),
+    and the dates are the old dates plus the new ones. The new version is
+    written to the shared folder first, then replaces the table (a path
+    cannot be overwritten while it is being read)."""
+    for name in (DIM_P, DIM_S):
+        cols = [*LAYER_COLUMNS[name], "ingestion_time"]
+        cand = wh.read(name).select(*cols).unionByName(stg_delta.select(*cols))
+        wh.overwrite(name, cut_lineage(_latest(cand, name), "dim"))
+    dates = wh.read(DIM_D).select(*LAYER_COLUMNS[DIM_D]).unionByName(m.dim_dates(stg_delta)).distinct()
+    wh.overwrite(DIM_D, cut_lineage(dates, "dim"))
+
+
 def tables(wh: Warehouse) -> dict[str, DataFrame]:
     return {name: table(wh, name) for name in LAYER_COLUMNS}
 
