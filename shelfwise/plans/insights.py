@@ -56,7 +56,10 @@ def retail_view(fct: DataFrame, dim_products: DataFrame, supplier: str | None =
     join (Catalyst's outer-join elimination)."""
     df = star_left_join(fct, dim_products)
     df = coerce_numeric(df, ["lead_time_days", "stock_quantity"])
-    df = df.na.drop(subset=["supplier_name", "product_name"])
+    # ``dropna(subset=...)``; written as IS NOT NULL so Catalyst sees the
+    # filter as null-rejecting: the LEFT join becomes an inner join and the
+    # product-name filter moves to the dimension side.
+    df = df.filter(F.col("supplier_name").isNotNull() & F.col("product_name").isNotNull())
     if supplier is not None and supplier != "All":
         df = df.filter(F.col("supplier_name") == F.lit(supplier))
     return df
