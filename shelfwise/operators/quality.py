@@ -15,7 +15,8 @@ kinds and their row semantics:
 one table (not_null, accepted_values, accepted_range) fold into a single
 aggregate over that table; uniqueness is a grouped count (partial
 aggregation before the shuffle, so a hot key costs one row per map task);
-relationships anti-join the *distinct* child keys against the parent keys.
+relationships count child keys map-side, anti-join them against the distinct
+parent keys and sum, so only keys cross the shuffle.
 """
 
 from __future__ import annotations
@@ -167,8 +168,21 @@ def _row_level_counts(table: str, df: DataFrame, checks: Sequence[Check]) -> Dat
     return wide.select(F.inline(rows))
 
 
+def relationships_violation_count(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
+    """Number of child rows without a parent, shuffling keys, not rows: child
+    keys are counted map-side first (a hot key costs one row per map task),
+    then anti-joined against the distinct parent keys and summed."""
+    counts = (child.filter(F.col(column).isNotNull()).groupBy(column)
+                   .agg(F.count(F.lit(1)).alias("n")))
+    keys = parent.select(F.col(field).alias(column)).filter(F.col(column).isNotNull()).distinct()
+    return (counts.join(keys, on=column, how="left_anti")
+                  .agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_violations")))
+
+
 def _count_row(ch: Check, violations: DataFrame) -> DataFrame:
-    return violations.agg(F.count(F.lit(1)).cast("long").alias("n_violations")).select(
+    if "n_violations" not in violations.columns:
+        violations = violations.agg(F.count(F.lit(1)).cast("long").alias("n_violations"))
+    return violations.select(
         F.lit(ch.table).alias("table_name"), F.lit(ch.kind).alias("check_name"),
         F.lit(ch.column_label).alias("column_name"), "n_violations")
 
@@ -180,6 +194,9 @@ def summary(tables: Mapping[str, DataFrame], checks: Sequence[Check] = SUITE) ->
     for ch in checks:
         if ch.kind in ROW_LEVEL:
             by_table.setdefault(ch.table, []).append(ch)
+        elif ch.kind == "relationships":
+            parts.append(_count_row(ch, relationships_violation_count(
+                tables[ch.table], ch.columns[0], tables[ch.to_table], ch.to_field)))
         else:
             parts.append(_count_row(ch, ch.violations(tables)))
     for table, chs in by_table.items():
