@@ -120,3 +120,12 @@ def test_replayed_rows_append_and_dims_extend_exactly(spark, wh):
     for name, model in ((P.DIM_P, m.dim_products), (P.DIM_S, m.dim_suppliers), (P.DIM_D, m.dim_dates)):
         assert sorted(P.table(wh, name).collect()) == sorted(model(stg).collect())
     assert {r.product_id: r.product_name for r in P.table(wh, P.DIM_P).collect()}["A"] == "renamed"
+
+
+def test_register_exposes_qualified_names(spark, wh):
+    first_load(spark, wh)
+    for name in (P.STG, P.FCT, P.DIM_P):
+        wh.register(name)
+    assert spark.table("staging.stg_products").count() == 2
+    assert spark.sql("SELECT COUNT(*) AS n FROM marts.fct_inventory").first().n == 2
+    assert spark.table("marts.dim_products").count() == 2
