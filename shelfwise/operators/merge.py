@@ -35,7 +35,7 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.schemas import PARTITION_COLUMN
@@ -102,18 +102,19 @@ def incremental_merge(spark: SparkSession, wh: Warehouse, table: str, source: Da
     there (and on every later run), delete+insert leaves the rows as they
     were. ``fail_on_duplicate_match=True`` restores the abort."""
     if not wh.exists(table):
-        out = with_partition(model(source).select(*columns))
-        wh.write_partitioned(table, out)
-        n = wh.read(table).count()
-        return MergeResult(table, True, None, n)
+        obs = Observation(f"load_{table}")
+        out = with_partition(model(source).select(*columns)).observe(obs, F.count(F.lit(1)).alias("n"))
+        wh.write_partitioned(table, out)          # row count observed during the write, no re-read
+        return MergeResult(table, True, None, obs.get["n"])
 
     target = wh.read(table)
     wm = high_watermark(target)
     delta_path = scratch_dir(spark, "delta")
-    with_partition(model(watermark_filter(source, wm, inclusive)).select(*columns)) \
-        .write.mode("overwrite").parquet(delta_path)
+    obs = Observation(f"delta_{table}")
+    (with_partition(model(watermark_filter(source, wm, inclusive)).select(*columns))
+        .observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(delta_path))
     delta = spark.read.parquet(delta_path)
-    n_delta = delta.count()
+    n_delta = obs.get["n"]
     if n_delta == 0:
         return MergeResult(table, False, wm, 0)
 
