@@ -24,6 +24,13 @@ def date_key_int(ts) -> Column:
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
 
 
+def ntz_lit(ts) -> Column:
+    """A TIMESTAMP_NTZ literal from a naive ``datetime`` (UTC wall clock).
+    Built from its ISO text: ``F.lit(datetime)`` goes through the driver's
+    OS time zone, which would shift the value on a non-UTC machine."""
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def day_of_week_sunday_first(d) -> Column:
     """1 = Sunday ... 7 = Saturday."""
     return F.dayofweek(_c(d))

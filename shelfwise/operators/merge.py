@@ -38,6 +38,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.functions.dates import ntz_lit
+
 from shelfwise.schemas import PARTITION_COLUMN
 from shelfwise.session import scratch_dir
 from shelfwise.sources.warehouse import Warehouse, with_partition
@@ -74,14 +76,14 @@ def high_watermark(target: DataFrame, default: dt.datetime = DEFAULT_WATERMARK)
 def late_filter(df: DataFrame, wm: dt.datetime, inclusive: bool) -> DataFrame:
     """The complement of ``watermark_filter`` for non-NULL times: rows a
     merge ignores because they are older than the target."""
-    lit = F.lit(wm).cast("timestamp_ntz")
+    lit = ntz_lit(wm)
     return df.filter((F.col(TS) < lit) if inclusive else (F.col(TS) <= lit))
 
 
 def watermark_filter(df: DataFrame, wm: dt.datetime, inclusive: bool) -> DataFrame:
     """Rows past the watermark; the date bound lets a partitioned source
     prune whole partitions before the row filter."""
-    lit = F.lit(wm).cast("timestamp_ntz")
+    lit = ntz_lit(wm)
     cond: Column = (F.col(TS) >= lit) if inclusive else (F.col(TS) > lit)
     if PARTITION_COLUMN in df.columns:
         df = df.filter(F.col(PARTITION_COLUMN) >= F.lit(wm.date()))
@@ -118,7 +120,7 @@ def incremental_merge(spark: SparkSession, wh: Warehouse, table: str, source: Da
     if n_delta == 0:
         return MergeResult(table, False, wm, 0)
 
-    wm_lit = F.lit(wm).cast("timestamp_ntz")
+    wm_lit = ntz_lit(wm)
     at_wm = (target.filter(F.col(PARTITION_COLUMN) == F.lit(wm.date())).filter(F.col(TS) == wm_lit)
                    .select(*columns))
     if not inclusive:

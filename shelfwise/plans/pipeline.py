@@ -20,6 +20,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.functions.dates import ntz_lit
+
 from shelfwise.operators import quality
 from shelfwise.operators.dedup import top1_per_key
 from shelfwise.operators.merge import MergeResult, high_watermark, incremental_merge, late_filter
@@ -65,7 +67,7 @@ def run_batch(spark: SparkSession, wh: Warehouse, raw_batch: DataFrame, load_id:
     if wh.exists(STG):
         wm: dt.datetime = high_watermark(wh.read(STG))
         counts = raw_batch.agg(
-            F.count_if(F.col("ingestion_time") < F.lit(wm).cast("timestamp_ntz")).alias("late"),
+            F.count_if(F.col("ingestion_time") < ntz_lit(wm)).alias("late"),
             F.count_if(F.col("ingestion_time").isNull()).alias("nulls")).first()
         res.late_rows, res.null_time_rows = counts["late"], counts["nulls"]
 

@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.functions.dates import ntz_lit
+
 from shelfwise.functions import signals
 from shelfwise.operators import quality
 from shelfwise.plans import insights as ins
@@ -216,7 +218,7 @@ ARRIVAL_CUTS = [dt.datetime(1997, 1, 1), dt.datetime(1999, 1, 1)]
 
 def _split(raw: DataFrame, column: str, cuts: list[dt.datetime]) -> list[DataFrame]:
     """Every row in exactly one load: [-inf, c1), [c1, c2), ..., [cn, inf)."""
-    bounds = [None] + [F.lit(c).cast("timestamp_ntz") for c in cuts] + [None]
+    bounds = [None] + [ntz_lit(c) for c in cuts] + [None]
     out = []
     for lo, hi in zip(bounds[:-1], bounds[1:]):
         cond = F.lit(True)
@@ -324,7 +326,7 @@ def q_stream_microbatch(spark, sf_dir):
     of the accepted rows."""
     apply_runtime_conf(spark)
     raw = raw_products(spark, sf_dir)
-    cut = F.lit(STREAM_CUT).cast("timestamp_ntz")
+    cut = ntz_lit(STREAM_CUT)
     land = scratch_dir(spark, "stream-landing")
     wh = Warehouse(spark, scratch_dir(spark, "stream-warehouse"))
     ckpt = scratch_dir(spark, "stream-checkpoint")

@@ -84,3 +84,17 @@ def test_design_text_metrics(spark):
     r = df.select(S.low_stock_flag().alias("a"), S.price_gap().alias("b"),
                   S.high_demand_low_stock_flag().alias("c")).collect()
     assert [(x.a, x.b, x.c) for x in r] == [(True, 1.5, True), (False, 0.0, False)]
+
+
+def test_ntz_literal_ignores_os_time_zone(spark, monkeypatch):
+    import time
+
+    from shelfwise.functions.dates import ntz_lit
+    monkeypatch.setenv("TZ", "America/Los_Angeles")
+    time.tzset()
+    try:
+        got = spark.range(1).select(ntz_lit(dt.datetime(2024, 1, 2, 3, 4, 5)).alias("t")).first().t
+    finally:
+        monkeypatch.delenv("TZ")
+        time.tzset()
+    assert got == dt.datetime(2024, 1, 2, 3, 4, 5)
