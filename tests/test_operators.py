@@ -1,0 +1,26 @@
+"""Size-gated operators: broadcast only under a proven bound; spread only
+narrow scans."""
+
+from shelfwise.operators.broadcast import bounded_broadcast, row_count_at_most
+from shelfwise.sources.testdata import spread_if_narrow
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_bounded_broadcast(spark):
+    small = spark.range(5)
+    big = spark.range(50)
+    assert row_count_at_most(small, 5) and not row_count_at_most(big, 5)
+    j_small = spark.range(100).join(bounded_broadcast(small, 5), "id")
+    j_big = spark.range(100).join(bounded_broadcast(big, 5), "id")
+    assert "broadcast" in _plan(j_small).lower()
+    assert "broadcast" not in _plan(j_big).lower()
+
+
+def test_spread_only_narrow_inputs(spark):
+    narrow = spark.range(10).coalesce(1)
+    wide = spark.range(0, 10, 1, 8)
+    assert spread_if_narrow(narrow, 4).rdd.getNumPartitions() == 4
+    assert spread_if_narrow(wide, 4).rdd.getNumPartitions() == 8
