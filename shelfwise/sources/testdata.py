@@ -38,7 +38,10 @@ def spread_if_narrow(df: DataFrame, min_partitions: int) -> DataFrame:
     to the first shuffle would run in one task). Large inputs already have
     many splits and are returned untouched, so this never adds a shuffle at
     scale."""
-    n = df.rdd.getNumPartitions()
+    try:
+        n = df.rdd.getNumPartitions()   # planning only, no job
+    except Exception:  # e.g. Spark Connect has no RDD view: leave the scan as it is
+        return df
     return df.repartition(min_partitions) if n < min_partitions else df
 
 
