@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import bpe, simhash
+from shelfwise.llm import bpe, decontaminate, iblt, langid, linededup, simhash, substrings, tokencounts, toxicity, urlfilter
 from shelfwise.llm.common import read
 
 #: Where the public tokenizer files lie; any path that the driver can open.
@@ -19,18 +19,85 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return toxicity.score(docs, toxicity.learn(docs, read(spark, sf_dir, "labels", "doc_id", "toxic")))
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item, its place and its edits."""
+    return decontaminate.contaminations(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that lose sentences, with the text left and the documents that keep what went."""
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return substrings.remove_repeats(docs, only_changed=True, report=True)
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.fingerprint_versions(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return langid.identify(docs, langid.learn(docs))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return linededup.drop_boilerplate(docs, dropped="n_dropped").select("doc_id", "text", "n_dropped")
+
+
+#: (host, path) rules of the production filter.
+URL_RULES = (
+    urlfilter.host_rule(urlfilter.BLOCK, "net", "/"), urlfilter.host_rule(urlfilter.ALLOW, "example.net", "/en/"),
+    urlfilter.host_rule(urlfilter.BLOCK, "example.com", "/de/"), urlfilter.host_rule(urlfilter.ALLOW, "org", "/fr/"),
+)
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(read(spark, sf_dir, "pages", "page_id", "url"), URL_RULES)
+
+
+URL_SQL = r"""
+WITH cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw_host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+named AS (SELECT page_id, path, '.' || h AS dotted, h AS host FROM (SELECT *, translate(raw_host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS h FROM parts)),
+ruled AS (SELECT *, CASE WHEN dotted LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+    WHEN dotted LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+    WHEN dotted LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/' WHEN dotted LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule FROM named)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM ruled
+"""
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.token_counts(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path()).select("doc_id", "n_tokens")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
+    "op2_decontaminate": op2_decontaminate,
     "op3_simhash": op3_simhash,
+    "op4_substrings": op4_substrings,
+    "op5_fingerprints": op5_fingerprints,
+    "op6_langid": op6_langid,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_url_filter": op8_url_filter,
+    "op9_token_counts": op9_token_counts,
     "op10_bpe": op10_bpe,
 }
 
 #: DuckDB SQL of those that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_line_dedup": linededup.SQL,
+    "op8_url_filter": URL_SQL,
+}
