@@ -28,6 +28,7 @@ from pyspark.sql.functions import pandas_udf
 
 from shelfwise.llm.common import crc_remainder
 from shelfwise.llm.learning import bounded_sample
+from shelfwise.session import cut_lineage
 
 TRAIN_ROWS = 8_000
 LEAST_DOCS = 3              # training texts that a word must be in
@@ -86,26 +87,19 @@ class Model:
         return 1 / (1 + float(np.exp(-max(-500.0, min(500.0, z)))))
 
 
-def fit(texts: list[set[str]], labels: list[int], swaps: list[tuple[int, set[str]]]) -> Model:
-    """``swaps``: a training text's number and the words of one of its counterfactuals."""
+def fit(texts: list[set[str]], labels: list[int], swaps: list[tuple[set[str], set[str]]], swap_weight: float = SWAP_WEIGHT) -> Model:
+    """``texts``: the features of each training text that may enter; ``swaps``:
+    the features that a counterfactual loses and gains."""
     n = len(texts)
     rate = (sum(labels) + 0.5) / (n + 1)
     bias = float(np.log(rate / (1 - rate)))
     if not 0 < sum(labels) < n:
         return Model({}, bias)
-    places: dict[str, list[int]] = {}          # by feature: the texts that have it
-    for i, own in enumerate(texts):
-        for f in features(own):
-            places.setdefault(f, []).append(i)
-    diffs = [(features(texts[i]), features(other)) for i, other in swaps]
-    touched = {f for a, b in diffs for f in a ^ b}
-    names = sorted(touched | {f for f, own in places.items()
-                              if unlikely(sum(labels[i] for i in own), len(own), rate, 1 / len(places))})
-    at = [np.array(places.get(f, []), np.int64) for f in names]
-    del places
+    names = sorted(set().union(*texts, *(a | b for a, b in swaps)))
+    at = [np.array([i for i, own in enumerate(texts) if f in own], np.int64) for f in names]
     # for each feature, the swaps whose score change it is part of
-    change = [np.array([k for k, (a, b) in enumerate(diffs) if (f in a) != (f in b)], np.int64) for f in names]
-    sign = [np.array([1.0 if f in diffs[k][0] else -1.0 for k in ks]) for f, ks in zip(names, change)]
+    change = [np.array([k for k, (a, b) in enumerate(swaps) if f in a or f in b], np.int64) for f in names]
+    sign = [np.array([1.0 if f in swaps[k][0] else -1.0 for k in ks]) for f, ks in zip(names, change)]
     y, moved = np.array(labels, float), np.zeros(len(swaps))
     w, z = np.zeros(len(names)), np.full(n, bias)
     ridge = max(RIDGE * n, 0.05)
@@ -117,8 +111,8 @@ def fit(texts: list[set[str]], labels: list[int], swaps: list[tuple[int, set[str
         largest = 0.0
         for j in range(len(names)):
             p = chance(z[at[j]])
-            g = (p - y[at[j]]).sum() + ridge * w[j] + SWAP_WEIGHT * (moved[change[j]] * sign[j]).sum()
-            h = (p * (1 - p)).sum() + ridge + SWAP_WEIGHT * len(change[j])
+            g = (p - y[at[j]]).sum() + ridge * w[j] + swap_weight * (moved[change[j]] * sign[j]).sum()
+            h = (p * (1 - p)).sum() + ridge + swap_weight * len(change[j])
             step = float(np.clip(-g / h, -1, 1))
             w[j] += step
             z[at[j]] += step
@@ -145,24 +139,42 @@ def unlikely(hits: int, n: int, rate: float, level: float) -> bool:
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          train_rows: int = TRAIN_ROWS) -> Model:
-    """Fits on labelled rows whose id has a crc32 that 5 does not divide."""
+          train_rows: int = TRAIN_ROWS, swap_weight: float = SWAP_WEIGHT) -> Model:
+    """Fits on labelled rows whose id has a crc32 that 5 does not divide.
+
+    Features are counted and screened as a Spark job; the driver gets only the
+    few that stand out, and which of them each training text has.
+    """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1) & (crc_remainder("id", 5) > 0))
     chosen = bounded_sample(known, train_rows, "id")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sample = cut_lineage(texts.join(F.broadcast(chosen), "id").select("id", "label", "text"), "toxicity-sample")
+    n, ones = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    rate = (ones + 0.5) / (n + 1)
 
-    def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def every(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"id": batch["id"], "label": batch["label"],
-                                "words": [sorted(words_of(t)) for t in batch["text"]],
-                                "swaps": [[sorted(s) for s in swapped_words(t)] for t in batch["text"]]})
+            yield pd.DataFrame({"label": batch["label"], "own": [sorted(features(words_of(t))) for t in batch["text"]]})
 
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = (texts.join(F.broadcast(chosen), "id").select("id", "label", "text")
-            .mapInPandas(words, "id long, label int, words array<string>, swaps array<array<string>>").collect())
-    rows.sort(key=lambda r: (r.id, r.label, r.words))
-    return fit([set(r.words) for r in rows], [r.label for r in rows],
-               [(i, set(s)) for i, r in enumerate(rows) for s in r.swaps])
+    counts = cut_lineage(sample.select("label", "text").mapInPandas(every, "label int, own array<string>")
+                         .select("label", F.explode("own").alias("feature"))
+                         .groupBy("feature").agg(F.count("*").alias("n"), F.sum("label").alias("hits")), "toxicity-counts")
+    level = 1 / max(1, counts.count())
+    apart = F.abs(F.col("hits") - F.col("n") * rate) > 2.5 * F.sqrt(F.col("n") * (rate * (1 - rate)))
+    names = {r.feature for r in counts.where((F.col("n") >= LEAST_DOCS) & apart).toLocalIterator() if unlikely(r.hits, r.n, rate, level)}
+
+    def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            own = [features(words_of(t)) for t in batch["text"]]
+            diffs = [[(sorted(a - b), sorted(b - a)) for b in map(features, swapped_words(t))] for t, a in zip(batch["text"], own)]
+            yield pd.DataFrame({"id": batch["id"].astype(str), "label": batch["label"], "own": [sorted(a & names) for a in own],
+                                "lost": [[x for x, _ in d] for d in diffs], "gained": [[x for _, x in d] for d in diffs]})
+
+    rows = sample.mapInPandas(kept, "id string, label int, own array<string>, lost array<array<string>>, gained array<array<string>>").collect()
+    rows.sort(key=lambda r: (r.id, r.label, r.own))
+    return fit([set(r.own) for r in rows], [r.label for r in rows],
+               [(set(a), set(b)) for r in rows for a, b in zip(r.lost, r.gained)], swap_weight)
 
 
 def score_column(text: str, model: Model):

@@ -37,7 +37,7 @@ def test_learns_without_blaming_the_group(spark):
     assert abs(named - plain) < .2 and model.score("a vile house") > .5
     swaps = T.swapped_words("A muslim walks. Trees.")
     assert {"christian", "a", "walks", "trees"} in swaps and len(swaps) == T.SWAPS
-    loose = T.fit([T.words_of(t) for _, t in docs], [x for _, x in labels], [])
+    loose = T.learn(d, lab, swap_weight=0.0)
     assert loose.score("muslim people") > named            # the penalty makes the difference
 
 
