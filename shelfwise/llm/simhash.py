@@ -223,4 +223,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     roots = cut_lineage(link(classes.select("fp"), max_bits), "simhash-roots")
     kept = (classes.join(roots, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
             .agg(F.min("best").alias("best")).select(F.col("best.row").alias(row)))
-    return held.join(cut_lineage(kept, "simhash-kept"), row, "left_semi").select(*docs.columns)
+    # merged at every size, so that what texts cost to move grows in proportion
+    return held.join(cut_lineage(kept, "simhash-kept").hint("merge"), row, "left_semi").select(*docs.columns)

@@ -133,7 +133,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     names = {n: fresh(docs, f"span_{n}") for n in ("doc_id", "th", "starts", "first_docs", "new")}
     found = found.select(*[F.col(n).alias(names[n]) for n in ("doc_id", "th", "starts", "first_docs")])
     same = docs[id_col].eqNullSafe(found[names["doc_id"]]) & (F.xxhash64(docs[text_col]) == found[names["th"]])
-    joined = docs.join(found, same, "inner" if only_changed else "left")
+    # merged at every size, so that what texts cost to move grows in proportion
+    joined = docs.join(found.hint("merge"), same, "inner" if only_changed else "left")
     joined = joined.withColumn(names["new"], without(F.col(text_col), F.col(names["starts"]), span))
     columns = [F.col(f"{names['new']}.text").alias(c) if c == text_col else F.col(c) for c in docs.columns]
     if report:
