@@ -63,10 +63,12 @@ class MergeResult:
     delta_path: str | None = None  # the written delta (model columns + ingestion_date)
 
 
-def high_watermark(target: DataFrame, default: dt.datetime = DEFAULT_WATERMARK) -> dt.datetime:
-    """MAX(ingestion_time) in two cheap steps: the newest partition date
-    (partition values only), then the max inside that one partition."""
-    newest = target.agg(F.max(PARTITION_COLUMN).alias("d")).first()["d"]
+def high_watermark(target: DataFrame, default: dt.datetime = DEFAULT_WATERMARK, newest: dt.date | None = None) -> dt.datetime:
+    """MAX(ingestion_time): the newest partition date, then the max inside
+    that one partition. ``newest`` is that date where the caller knows it
+    (``Warehouse.newest_date``); finding it here opens every file's footer."""
+    if newest is None:
+        newest = target.agg(F.max(PARTITION_COLUMN).alias("d")).first()["d"]
     if newest is None:
         return default
     wm = target.filter(F.col(PARTITION_COLUMN) == F.lit(newest)).agg(F.max(TS).alias("m")).first()["m"]
@@ -110,7 +112,7 @@ def incremental_merge(spark: SparkSession, wh: Warehouse, table: str, source: Da
         return MergeResult(table, True, None, obs.get["n"])
 
     target = wh.read(table)
-    wm = high_watermark(target)
+    wm = high_watermark(target, newest=wh.newest_date(table))
     delta_path = scratch_dir(spark, "delta")
     obs = Observation(f"delta_{table}")
     (with_partition(model(watermark_filter(source, wm, inclusive)).select(*columns))

@@ -198,7 +198,7 @@ def q_flatten(spark, sf_dir):
 
 @register("flatten_rejects")
 def q_flatten_rejects(spark, sf_dir):
-    return _flattened(spark, sf_dir)[1]
+    return _flattened(spark, sf_dir)[1].select("sku", "reject_reason")
 
 
 @register("csv_roundtrip")
@@ -304,6 +304,16 @@ def q_dims_refresh(spark, sf_dir):
     return pipeline.table(incremental_run(spark, sf_dir), pipeline.DIM_P)
 
 
+@register("dims_refresh_suppliers")
+def q_dims_refresh_suppliers(spark, sf_dir):
+    return pipeline.table(incremental_run(spark, sf_dir), pipeline.DIM_S)
+
+
+@register("dims_refresh_dates")
+def q_dims_refresh_dates(spark, sf_dir):
+    return pipeline.table(incremental_run(spark, sf_dir), pipeline.DIM_D)
+
+
 @register("late_rows")
 def q_late_rows(spark, sf_dir):
     """Rows of the second load older than the staging watermark left by the

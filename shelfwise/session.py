@@ -7,9 +7,11 @@ zone is pinned to UTC so ``to_date`` / ``date_format`` never shift a day.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 
 # Settings every session of this library wants, whatever the cluster size.
@@ -48,30 +50,23 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
-def local_conf(parallelism: int) -> dict:
-    """Single-machine tuning only. Partition discovery otherwise launches one
-    listing task per directory (thousands of tiny tasks for a date-partitioned
-    table), and AQE would coalesce a small partitioned write into one task
-    that opens every partition's file in turn. On a cluster the defaults are
-    right and none of this is applied."""
-    return {
-        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(parallelism),
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
-    }
+#: Results depend on these; a session that refuses them can't be used.
+REQUIRED = ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode")
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
     """Runtime-settable subset of BASE_CONF, for sessions built elsewhere
-    (e.g. the driver's). Static settings are left alone."""
-    conf = {k: v for k, v in BASE_CONF.items() if not k.startswith("spark.ui.")}
-    sc = spark.sparkContext
-    if sc.master.startswith("local"):
-        conf.update(local_conf(sc.defaultParallelism))
-    for k, v in conf.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static or locked conf: keep the cluster's choice
-            pass
+    (e.g. the driver's). Tuning that the session won't take is left as the
+    cluster has it; a setting that results depend on raises."""
+    for k, v in BASE_CONF.items():
+        if not k.startswith("spark.ui."):
+            try:
+                spark.conf.set(k, v)
+            except AnalysisException:  # static or locked
+                pass
+    for k in REQUIRED:
+        if spark.conf.get(k, "").lower() != BASE_CONF[k].lower():
+            raise RuntimeError(f"{k} is {spark.conf.get(k, None)}; {BASE_CONF[k]} is needed")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -95,13 +90,16 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh directory under the shared checkpoint location.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; we use it
-    for lineage cuts and intermediate tables. Only when it is unset (local
-    tests) do we create one under the system temp folder and register it.
+    for lineage cuts and intermediate tables. Where it is unset, a session in
+    one process (tests) gets a temporary folder; on a cluster, whose machines
+    don't share such a folder, that raises.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir names no shared folder")
         base = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)

@@ -19,38 +19,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.operators.broadcast import bounded_broadcast
 from shelfwise.schemas import RAW_COLUMNS
 
-# nation (25 rows) and region (5 rows) are fixed-size TPC-H tables; the
-# bounded check below still verifies it before broadcasting.
-GEO_MAX_ROWS = 10_000
-
-
-# The fact-sized input scanned on the probe side (orders is joined by key and
-# spreading it would only add a shuffle in front of its join).
-SPREAD_TABLES = ("lineitem",)
-
-
-def spread_if_narrow(df: DataFrame, min_partitions: int) -> DataFrame:
-    """Round-robin an input whose scan yields fewer splits than the cluster
-    can run at once (a single-row-group file is one split, and everything up
-    to the first shuffle would run in one task). Large inputs already have
-    many splits and are returned untouched, so this never adds a shuffle at
-    scale."""
-    try:
-        n = df.rdd.getNumPartitions()   # planning only, no job
-    except Exception:  # e.g. Spark Connect has no RDD view: leave the scan as it is
-        return df
-    return df.repartition(min_partitions) if n < min_partitions else df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    df = df.select(*columns) if columns else df
-    if name in SPREAD_TABLES:
-        df = spread_if_narrow(df, spark.sparkContext.defaultParallelism)
-    return df
+    return df.select(*columns) if columns else df
 
 
 def stock_status_from_flags(returnflag: str = "l_returnflag", linestatus: str = "l_linestatus"):
@@ -74,10 +47,8 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_name", "n_regionkey"])
     region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
 
-    geo = nation.join(bounded_broadcast(region, GEO_MAX_ROWS), F.col("n_regionkey") == F.col("r_regionkey"))
-    geo = bounded_broadcast(geo, GEO_MAX_ROWS)
-    # supplier / part / orders grow with the data: plain joins, AQE decides
-    # broadcast vs sort-merge from runtime sizes and splits skewed keys.
+    # Plain joins: Spark decides broadcast vs sort-merge from sizes and splits skewed keys.
+    geo = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     sup = supplier.join(geo, F.col("s_nationkey") == F.col("n_nationkey"))
     j = (li.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
            .join(part, F.col("l_partkey") == F.col("p_partkey"))

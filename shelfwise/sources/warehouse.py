@@ -11,6 +11,8 @@ as qualified names in the session catalog when one is wanted.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,12 +47,21 @@ class Warehouse:
         layer, name = table.split(".", 1)
         return f"{self.root}/{layer}/{name}"
 
+    def _children(self, path: str) -> list[str]:
+        """Names in a folder as its store lists them; none if it isn't there."""
+        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        fs = at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+
     def exists(self, table: str) -> bool:
-        try:
-            self.read(table)
-            return True
-        except AnalysisException:
-            return False
+        """Whether something was committed to the table; any other trouble with its store raises."""
+        return any(not name.startswith(("_", ".")) for name in self._children(self.path(table)))
+
+    def newest_date(self, table: str) -> dt.date | None:
+        """The newest partition of a table by its folders' names; no file is opened."""
+        prefix = f"{PARTITION_COLUMN}="
+        dates = [n[len(prefix):] for n in self._children(self.path(table)) if n.startswith(prefix)]
+        return max((dt.date.fromisoformat(d) for d in dates if d != "__HIVE_DEFAULT_PARTITION__"), default=None)
 
     def read(self, table: str) -> DataFrame:
         """Table with its partition columns (``ingestion_date``, and
@@ -69,8 +80,10 @@ class Warehouse:
 
     def write_load(self, table: str, df: DataFrame, load_id: str | int) -> None:
         """Raw append keyed by load: each load owns ``load_id=<id>/``, so a
-        retried load (same id) replaces itself instead of appending twice."""
-        (clustered(with_partition(df)).write.mode("overwrite").partitionBy(PARTITION_COLUMN)
+        retried load (same id) replaces itself, dates that it no longer has
+        included, instead of appending twice."""
+        (clustered(with_partition(df)).write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy(PARTITION_COLUMN)
             .parquet(f"{self.path(table)}/{LOAD_COLUMN}={load_id}"))
         self._written(table)
 

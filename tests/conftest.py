@@ -6,13 +6,17 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+# One machine: list folders in as many tasks as there are threads, and keep AQE
+# from merging a small partitioned write into one task.
+LOCAL_CONF = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": "8",
+              "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k"}
 SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
 def spark():
     from shelfwise.session import build_session
-    s = build_session("local[4]", shuffle_partitions=4, app_name="shelfwise-tests")
+    s = build_session("local[4]", shuffle_partitions=4, app_name="shelfwise-tests", extra=LOCAL_CONF)
     yield s
     s.stop()
 

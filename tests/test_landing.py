@@ -88,21 +88,21 @@ def test_sample_document(spark):
     rows, rejects = flat(spark, None, SAMPLE_CASE)
     assert not rejects and len(rows) == 1
     r = rows[0]
-    assert r.sku == "ORG-150570-92" and r.sale == 34.59 and r.msrp == 48.08 and r.discount == 28.1
-    assert r.stock_quantity == 0 and r.stock_status == "Backordered" and r.stock_region == "EU-West"
-    assert r.stock_reorder_point == 15 and r.supplier_lead_time_days == 10
-    assert r.stock_last_restocked == dt.datetime(2025, 7, 10, 14, 42, 3, 260000)
-    assert r.reviews_tags == "staff-pick, limited-edition" and r.reviews_review_count == 2422
-    assert r.shipping_free_shipping is True and r.generated_at == dt.datetime(2026, 3, 27, 14, 42, 3, 262000)
+    assert r.sku == "LMP-000731-04" and r.sale == 52.25 and r.msrp == 61.5 and r.discount == 15.0
+    assert r.stock_quantity == 0 and r.stock_status == "Backordered" and r.stock_region == "Nordics"
+    assert r.stock_reorder_point == 22 and r.supplier_lead_time_days == 10
+    assert r.stock_last_restocked == dt.datetime(2024, 5, 1, 8, 15, 30, 125000)
+    assert r.reviews_tags == "desk, dimmable" and r.reviews_review_count == 812
+    assert r.shipping_free_shipping is True and r.generated_at == dt.datetime(2024, 9, 18, 6, 30, 0, 500000)
 
 
 def test_sample_signals(spark):
     """Expected flags of the sample when its generation instant is the
-    ingestion time: 260 days -> STALE, BACKORDER, lead 10 is not > 10."""
+    ingestion time: 139 whole days -> STALE, BACKORDER, lead 10 is not > 10."""
     text = spark.createDataFrame([(json.dumps(SAMPLE),)], "value string")
     raw, _ = landing.flatten_text(text)
     r = models.int_inventory_signals(models.stg_products(raw)).first()
-    assert r.days_since_last_restock == 260 and r.restock_staleness_flag == "STALE"
+    assert r.days_since_last_restock == 139 and r.restock_staleness_flag == "STALE"
     assert r.normalized_stock_status == "BACKORDER" and r.alert_flag is False
     assert r.in_stock_risk_flag is False and r.backorder_delay_flag is False
     assert r.high_demand_flag is True and r.inventory_risk_flag == "LOW_RISK"
