@@ -20,6 +20,10 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A write to thousands of date folders shouldn't be merged into one task,
+    # nor their listing be dealt into as many tasks.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     # incremental merges rewrite only the partitions they touch
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # MAX/MIN/COUNT answered from parquet footers where possible (watermarks)
