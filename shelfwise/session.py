@@ -86,7 +86,7 @@ def cut_lineage(df, name: str = "cut"):
     readers keep column pruning and filter push-down."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 
