@@ -23,7 +23,7 @@ from shelfwise.plans import pipeline
 from shelfwise.schemas import FLAT_COLUMNS
 from shelfwise.session import apply_runtime_conf, scratch_dir
 from shelfwise.sources import files, landing
-from shelfwise.sources.testdata import raw_products
+from shelfwise.sources.testdata import raw_products, read_table
 from shelfwise.sources.warehouse import Warehouse
 from shelfwise.streaming import microbatch
 
@@ -71,6 +71,20 @@ _signal_query("in_stock_risk", KEYS + ["stock_status", "stock_quantity", "lead_t
 _signal_query("backorder_delay", KEYS + ["stock_status", "lead_time_days", "backorder_delay_flag"])
 _signal_query("restock_age", ["product_id", "warehouse_region", "stock_last_restocked", "ingestion_time",
                               "days_since_last_restock"])
+
+
+@register("restock_age_subday")
+def q_restock_age_subday(spark, sf_dir):
+    """Whole-day age between instants within the day: each event's time against
+    an hour from two days before its day to two days after."""
+    apply_runtime_conf(spark)
+    events = read_table(spark, sf_dir, "events", ["event_id", "ts"])
+    restocked = F.expr("timestampadd(HOUR, CAST(event_id % 97 AS INT) - 48, date_trunc('DAY', ts))").cast("timestamp_ntz")
+    rows = events.select("event_id", restocked.alias("stock_last_restocked"),
+                         F.col("ts").cast("timestamp_ntz").alias("ingestion_time"))
+    return rows.withColumn("days_since_last_restock", signals.days_since())
+
+
 _signal_query("restock_staleness", KEYS + ["days_since_last_restock", "restock_staleness_flag"])
 _signal_query("high_demand", KEYS + ["rating", "review_count", "high_demand_flag"])
 _signal_query("inventory_risk", KEYS + ["normalized_stock_status", "high_demand_flag", "lead_time_days",
@@ -314,6 +328,38 @@ def q_dims_refresh_dates(spark, sf_dir):
     return pipeline.table(incremental_run(spark, sf_dir), pipeline.DIM_D)
 
 
+# Fixed value: the instant that both loads of the same-instant scenario hold rows of.
+SHARED_INSTANT = dt.datetime(1997, 6, 1)
+
+
+def same_instant_run(spark, sf_dir) -> Warehouse:
+    """Two loads of monthly snapshots that share the watermark instant: of its
+    rows the first load brings those of even quantity, the second the others,
+    some for keys that the first has (matched by the inclusive merge, which
+    rewrites the day) and some for new keys."""
+    apply_runtime_conf(spark)
+    raw = raw_products(spark, sf_dir)
+    raw = raw.withColumn("ingestion_time", F.date_trunc("month", "ingestion_time").cast("timestamp_ntz"))
+    at, cut = F.col("ingestion_time"), ntz_lit(SHARED_INSTANT)
+    first = (at < cut) | ((at == cut) & (F.col("stock_quantity") % 2 == 0))
+    wh = Warehouse(spark, scratch_dir(spark, "warehouse"))
+    pipeline.run_batch(spark, wh, raw.filter(first), load_id="first")
+    pipeline.run_batch(spark, wh, raw.filter(~first), load_id="second")
+    return wh
+
+
+def _same_instant_query(name: str, layer: str):
+    @register(name)
+    def _q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return pipeline.table(same_instant_run(spark, sf_dir), layer)
+    return _q
+
+
+_same_instant_query("incremental_same_instant_stg", pipeline.STG)
+_same_instant_query("incremental_same_instant_int", pipeline.INT)
+_same_instant_query("incremental_same_instant_fct", pipeline.FCT)
+
+
 @register("late_rows")
 def q_late_rows(spark, sf_dir):
     """Rows of the second load older than the staging watermark left by the

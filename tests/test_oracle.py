@@ -12,14 +12,15 @@ SF = "/root/testdata/sf0.001"
 FAST = ["stg_rename", "inventory_risk", "int_inventory_signals", "fct_inventory", "dim_products",
         "dim_suppliers", "dim_dates", "star_join_using", "kpi_overview", "top10_high_risk", "supplier_summary",
         "check_summary", "check_unique_combo", "flatten_envelopes", "flatten_rejects", "run_id_paths",
-        "late_rows", "supplier_filtered", "dim_dates_ext"]
+        "late_rows", "restock_age_subday", "incremental_same_instant_stg", "incremental_same_instant_int",
+        "incremental_same_instant_fct", "supplier_filtered", "dim_dates_ext"]
 
 
 @pytest.fixture(scope="module")
 def duck():
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ["region", "nation", "supplier", "part", "orders", "lineitem"]:
+    for t in ["region", "nation", "supplier", "part", "orders", "lineitem", "events"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return con
 
@@ -37,5 +38,8 @@ def test_matches_oracle(spark, duck, name):
 
 def test_registry_and_oracle_cover_each_other():
     import __spark_entry__ as E
-    assert set(E.queries()) == set(E.oracle_sql())
-    assert len(E.queries()) >= 51
+    from shelfwise.plans.oracle import SQL
+    from shelfwise.plans.registry import REGISTRY
+    assert set(REGISTRY) == set(SQL)
+    assert set(REGISTRY) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
+    assert len(REGISTRY) >= 51
