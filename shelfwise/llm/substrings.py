@@ -92,7 +92,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spa
     before, where they start and the ids of the documents that keep them."""
     # the id goes as text, so that an integer column with nulls passes pandas whole
     keyed = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
-    every = spans(keyed, span)
+    every = cut_lineage(spans(keyed, span), "span-all")     # read twice below, so that texts are hashed once
     twice = cut_lineage(every.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"), "span-hashes")
     shared = every.join(twice, "h1")
     kind = docs.schema[id_col].dataType
