@@ -2,11 +2,13 @@
 
 A text is cut into sentences at line feeds and after ``. ! ?`` before white
 space. A sentence of more than ``LONG`` words is cut further, after words whose
-hash is divisible by eight, so that a passage is cut alike wherever it stands.
-Every run of ``SPAN`` consecutive sentences with at least ``LEAST_WORDS`` words
-is hashed (case and white space aside) and joined over all documents. The first
-occurrence, by id and place, stays; every sentence that any other occurrence
-covers is removed.
+hash is divisible by ``CUT``, so that a passage is cut alike wherever it stands;
+more than ``LONG`` words without such a word (one word over and over, say) are
+cut after each word. A span is the shortest run of consecutive sentences that
+has at least ``SPAN`` sentences and ``LEAST_WORDS`` words; one begins at every
+sentence. Each is hashed (case and white space aside) and joined over all
+documents. The first occurrence, by id and place, stays; every sentence that
+any other occurrence covers is removed.
 
 Null ids come after all others. Rows of equal id and text are one document
 given repeatedly: they're treated alike and none counts against another. A null
@@ -30,8 +32,9 @@ from shelfwise.llm.common import fresh
 from shelfwise.session import cut_lineage
 
 SPAN = 3
-LEAST_WORDS = 10
-LONG = 16
+LEAST_WORDS = 24
+LONG = 9
+CUT = 3
 END = re.compile(r"(?<=[.!?])\s+|\n\s*")
 WORD = re.compile(r"\S+\s*")
 ROWS_AT_ONCE = 100_000
@@ -44,25 +47,41 @@ def sentences(text: str) -> list[tuple[int, int]]:
     for a, b in zip(cuts, cuts[1:]):
         if a == b or text[a:b].isspace():
             continue
-        if text.count(" ", a, b) >= LONG:
+        if b - a > 2 * LONG and len(text[a:b].split()) > LONG:
+            ends: list[int] = []
             for m in WORD.finditer(text, a, b):
-                if xxhash.xxh32_intdigest(m[0].strip().lower().encode("utf-8", "surrogatepass")) % 8 == 0 and m.end() < b:
-                    out.append((a, m.end()))
-                    a = m.end()
-        out.append((a, b))
+                ends.append(m.end())
+                if m.end() == b or xxhash.xxh32_intdigest(m[0].strip().lower().encode("utf-8", "surrogatepass")) % CUT == 0:
+                    ends = ends if len(ends) > LONG else ends[-1:]
+                    out += zip([a, *ends], ends)
+                    a, ends = m.end(), []
+        else:
+            out.append((a, b))
+    return out
+
+
+def runs(sizes: list[int], span: int = SPAN) -> list[tuple[int, int]]:
+    """First sentence and end of each span, given the sentences' numbers of words."""
+    out, end, words = [], 0, 0
+    for i, size in enumerate(sizes):
+        while end < len(sizes) and (end - i < span or words < LEAST_WORDS):
+            words += sizes[end]
+            end += 1
+        if end - i < span or words < LEAST_WORDS:
+            break
+        out.append((i, end))
+        words -= size
     return out
 
 
 def span_hashes(text: str, span: int = SPAN) -> list[tuple[int, int, int]]:
-    """(place, two halves of a 128-bit hash) of each run of sentences."""
+    """(first sentence, two halves of a 128-bit hash) of each span."""
     plain = [text[a:b].lower().split() for a, b in sentences(text)]
-    sizes = [len(p) for p in plain]
     joined = [" ".join(p).encode("utf-8", "surrogatepass") for p in plain]
     out = []
-    for i in range(len(plain) - span + 1):
-        if sum(sizes[i:i + span]) >= LEAST_WORDS:
-            h = xxhash.xxh3_128_intdigest(b"\n".join(joined[i:i + span]))
-            out.append((i, h >> 64, h & 0xFFFFFFFFFFFFFFFF))
+    for i, end in runs([len(p) for p in plain], span):
+        h = xxhash.xxh3_128_intdigest(b"\n".join(joined[i:end]))
+        out.append((i, h >> 64, h & 0xFFFFFFFFFFFFFFFF))
     return out
 
 
@@ -116,8 +135,10 @@ def without(text, starts, span: int):
             if t is None or own is None:
                 out.append((t, 0))
                 continue
-            gone = {i + j for i in own for j in range(span)}
-            kept = [t[a:b] for i, (a, b) in enumerate(sentences(t)) if i not in gone]
+            parts = sentences(t)
+            end = dict(runs([len(t[a:b].split()) for a, b in parts], span))
+            gone = {j for i in own for j in range(i, end[i])}
+            kept = [t[a:b] for i, (a, b) in enumerate(parts) if i not in gone]
             out.append(("".join(kept).rstrip() if kept else "", len(gone)))
         return pd.DataFrame(out, columns=["text", "n_removed"])
 
