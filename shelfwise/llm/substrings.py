@@ -1,15 +1,20 @@
 """Substring dedup over sliding spans of sentences.
 
 A text is cut into sentences at line feeds and after ``. ! ?`` before white
-space. A sentence of more than ``LONG`` words is cut further, after words whose
-hash is divisible by ``CUT``, so that a passage is cut alike wherever it stands;
-more than ``LONG`` words without such a word (one word over and over, say) are
-cut after each word. A span is the shortest run of consecutive sentences that
+space. A sentence of more than ``LONG`` words, or a row of more than ``LONG``
+one-word sentences, is cut anew after words whose hash is divisible by the first
+of ``CUTS``, so that a passage is cut alike wherever it stands; what is still
+longer is cut by the next of ``CUTS``, in the end (one word over and over, say)
+after each word. A span is the shortest run of consecutive sentences that
 has at least ``SPAN`` sentences and ``LEAST_WORDS`` words; one begins at every
 sentence. Each is hashed (case and white space aside) and joined over all
 documents. The first occurrence, by id and place, stays; every sentence that
 any other occurrence covers is removed.
 
+Any 51 words that two texts share hold a whole span, wherever sentences end
+around them: at most ``LONG`` words at each edge belong to sentences that
+differ, and the 27 between make three sentences and ``LEAST_WORDS`` words.
+
 Null ids come after all others. Rows of equal id and text are one document
 given repeatedly: they're treated alike and none counts against another. A null
 text stays null, a text with fewer sentences than a span is never touched, and
@@ -20,6 +25,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -33,30 +39,42 @@ from shelfwise.session import cut_lineage
 
 SPAN = 3
 LEAST_WORDS = 24
-LONG = 9
-CUT = 3
+LONG = 12
+CUTS = (8, 3, 1)
 END = re.compile(r"(?<=[.!?])\s+|\n\s*")
 WORD = re.compile(r"\S+\s*")
 ROWS_AT_ONCE = 100_000
 
 
+def cut_words(words: list[tuple[int, int]], level: int = 0) -> list[int]:
+    """Where parts end, given the end and hash of each word of a long sentence."""
+    if len(words) <= LONG or level == len(CUTS):
+        return [words[-1][0]]
+    out, part = [], []
+    for word in words:
+        part.append(word)
+        if (word[1] >> 8 * level) % CUTS[level] == 0:
+            out += cut_words(part, level + 1)
+            part = []
+    return out + (cut_words(part, level + 1) if part else [])
+
+
 def sentences(text: str) -> list[tuple[int, int]]:
     """Start and end of each sentence, the white space after it included."""
     cuts = [0, *(m.end() for m in END.finditer(text)), len(text)]
+    plain = [(a, b, len(text[a:b].split())) for a, b in zip(cuts, cuts[1:])]
     out = []
-    for a, b in zip(cuts, cuts[1:]):
-        if a == b or text[a:b].isspace():
-            continue
-        if b - a > 2 * LONG and len(text[a:b].split()) > LONG:
-            ends: list[int] = []
-            for m in WORD.finditer(text, a, b):
-                ends.append(m.end())
-                if m.end() == b or xxhash.xxh32_intdigest(m[0].strip().lower().encode("utf-8", "surrogatepass")) % CUT == 0:
-                    ends = ends if len(ends) > LONG else ends[-1:]
-                    out += zip([a, *ends], ends)
-                    a, ends = m.end(), []
-        else:
-            out.append((a, b))
+    for single, group in groupby((p for p in plain if p[2]), lambda p: p[2] == 1):
+        rows = list(group)
+        if single and len(rows) > LONG:
+            rows = [(rows[0][0], rows[-1][1], len(rows))]
+        for a, b, n in rows:
+            if n > LONG:
+                ends = cut_words([(m.end(), xxhash.xxh32_intdigest(m[0].strip().lower().encode("utf-8", "surrogatepass")))
+                                  for m in WORD.finditer(text, a, b)])
+                out += zip([a, *ends], ends)
+            else:
+                out.append((a, b))
     return out
 
 
