@@ -11,7 +11,8 @@ one group can't score higher than that of another, nor than none.
 Fitting takes about ``TRAIN_ROWS`` labelled rows, chosen by a hash of the id;
 scoring covers every whole text. A null or empty text gets the score of a text
 without features. Labels other than 0 and 1 and null labels or ids are not
-learned from; of several labels for an id each counts.
+learned from; of several labels for an id each counts. Without any label to
+learn from, every score is next to 0 and nothing is rejected.
 """
 
 from __future__ import annotations
@@ -91,6 +92,8 @@ def fit(texts: list[set[str]], labels: list[int], swaps: list[tuple[set[str], se
     """``texts``: the features of each training text that may enter; ``swaps``:
     the features that a counterfactual loses and gains."""
     n = len(texts)
+    if not n:
+        return Model({}, -500.0)
     rate = (sum(labels) + 0.5) / (n + 1)
     bias = float(np.log(rate / (1 - rate)))
     if not 0 < sum(labels) < n:

@@ -45,6 +45,6 @@ def test_no_labels_and_empty_tables(spark):
     d = spark.createDataFrame([(1, "x"), (2, None)], "doc_id long, text string")
     lab = spark.createDataFrame([], "doc_id long, toxic int")
     rows = T.score(d, T.learn(d, lab)).collect()
-    assert len(rows) == 2 and all(0 <= r.score <= 1 for r in rows)
+    assert len(rows) == 2 and all(0 <= r.score <= 1 and r.predicted == 0 for r in rows)
     assert T.score(d.limit(0), T.learn(d.limit(0), lab)).count() == 0
     assert d.select(T.crc_remainder("doc_id", 5).alias("r"), F.crc32(F.col("doc_id").cast("string")).alias("c")).where("r <> c % 5").count() == 0
