@@ -4,9 +4,11 @@ A text's features are its distinct words (letters only, lower case) and the
 words' beginnings of three to seven letters. Those whose share of label 1 is less likely by chance than one in the number of all
 words enter a logistic regression with a small ridge, fitted by coordinate
 descent. In every training text that names a group (``IDENTITY_TERMS``), the
-sentences that do so are repeated with the term swapped for others, and the
-squared change of the text's score is part of the loss: a neutral mention of
-one group can't score higher than that of another, nor than none.
+sentences that do so are repeated with the term swapped for others and with the
+term left out, and the squared change of the text's score is part of the loss: a
+neutral mention of one group should score like that of another, and like none.
+What such a change touches enters the regression too, with all labelled texts
+that have it.
 
 Fitting takes about ``TRAIN_ROWS`` labelled rows, chosen by a hash of the id;
 scoring covers every whole text. A null or empty text gets the score of a text
@@ -63,8 +65,18 @@ def features(words: set[str]) -> set[str]:
     return words | {w[:k] + "*" for w in words for k in BEGINNINGS if len(w) > k}
 
 
+#: All that a counterfactual can lose or gain.
+IDENTITY_FEATURES = features({t for kind in IDENTITY_TERMS for t in kind})
+
+
+def without_terms(text: str | None) -> list[set[str]]:
+    """The text's words without one of the terms that it has, for each of them."""
+    own = words_of(text)
+    return [own - {term} for kind in IDENTITY_TERMS for term in kind if term in own]
+
+
 def swapped_words(text: str | None) -> list[set[str]]:
-    """The word sets of the text's counterfactuals."""
+    """The word sets of the text's counterfactuals that name another group."""
     kinds = {t: kind for kind in IDENTITY_TERMS for t in kind}
     own = words_of(text)
     out = []
@@ -146,7 +158,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fits on labelled rows whose id has a crc32 that 5 does not divide.
 
     Features are counted and screened as a Spark job; the driver gets only the
-    few that stand out, and which of them each training text has.
+    few that stand out or belong to an identity term, and which of them each
+    training text has.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1) & (crc_remainder("id", 5) > 0))
@@ -167,16 +180,19 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     apart = F.abs(F.col("hits") - F.col("n") * rate) > 2.5 * F.sqrt(F.col("n") * (rate * (1 - rate)))
     names = {r.feature for r in counts.where((F.col("n") >= LEAST_DOCS) & apart).toLocalIterator() if unlikely(r.hits, r.n, rate, level)}
 
+    wanted = names | IDENTITY_FEATURES
+
     def kept(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             own = [features(words_of(t)) for t in batch["text"]]
-            diffs = [[(sorted(a - b), sorted(b - a)) for b in map(features, swapped_words(t))] for t, a in zip(batch["text"], own)]
-            yield pd.DataFrame({"id": batch["id"].astype(str), "label": batch["label"], "own": [sorted(a & names) for a in own],
+            diffs = [[(sorted(a - b), sorted(b - a)) for b in map(features, swapped_words(t) + without_terms(t))] for t, a in zip(batch["text"], own)]
+            yield pd.DataFrame({"id": batch["id"].astype(str), "label": batch["label"], "own": [sorted(a & wanted) for a in own],
                                 "lost": [[x for x, _ in d] for d in diffs], "gained": [[x for _, x in d] for d in diffs]})
 
     rows = sample.mapInPandas(kept, "id string, label int, own array<string>, lost array<array<string>>, gained array<array<string>>").collect()
     rows.sort(key=lambda r: (r.id, r.label, r.own))
-    return fit([set(r.own) for r in rows], [r.label for r in rows],
+    enter = names.union(*(x for r in rows for x in r.lost + r.gained))
+    return fit([enter.intersection(r.own) for r in rows], [r.label for r in rows],
                [(set(a), set(b)) for r in rows for a, b in zip(r.lost, r.gained)], swap_weight)
 
 

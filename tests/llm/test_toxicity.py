@@ -1,4 +1,5 @@
 import random
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -41,6 +42,30 @@ def test_learns_without_blaming_the_group(spark):
     assert loose.score("muslim people") > named            # the penalty makes the difference
 
 
+def test_clean_labels_count_for_terms_that_fail_the_screen(spark, monkeypatch):
+    rnd, docs, labels = random.Random(6), [], []
+    for i in range(600):
+        own, bad = rnd.choices(WORDS, k=rnd.randrange(3, 30)), i % 3 == 0
+        if bad and rnd.random() < .8 or not bad and rnd.random() < .05:
+            own.append("muslim")                     # stands out
+        if rnd.random() < .2:
+            own.append("christian")                  # alike in both, so it fails the screen
+        docs.append((i, " ".join(own)))
+        labels.append((i, int(bad)))
+    seen, fit = [], T.fit
+    monkeypatch.setattr(T, "fit", lambda texts, *rest: seen.append((texts, *rest)) or fit(texts, *rest))
+    model = T.learn(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    [(texts, ys, swaps, _)] = seen
+    train = [t for i, t in docs if (zlib.crc32(str(i).encode()) % 5) > 0]
+    touched = set().union(*(a | b for a, b in swaps))
+    for f in ("christian", "muslim"):
+        assert f in touched and sum(f in t for t in texts) == sum(f in T.words_of(t) for t in train)
+    assert sum("christian" in t and not y for t, y in zip(texts, ys)) > 40
+    # the penalty holds between a mention and none, too
+    assert ({"christian"} | {"christian"[:k] + "*" for k in T.BEGINNINGS}, set()) in swaps
+    assert abs(model.score("christian people walk") - model.score("people walk")) < .1
+
+
 def test_no_labels_and_empty_tables(spark):
     d = spark.createDataFrame([(1, "x"), (2, None)], "doc_id long, text string")
     lab = spark.createDataFrame([], "doc_id long, toxic int")
