@@ -7,13 +7,16 @@ of ``CUTS``, so that a passage is cut alike wherever it stands; what is still
 longer is cut by the next of ``CUTS``, in the end (one word over and over, say)
 after each word. A span is the shortest run of consecutive sentences that
 has at least ``SPAN`` sentences and ``LEAST_WORDS`` words; one begins at every
-sentence. Each is hashed (case and white space aside) and joined over all
-documents. The first occurrence, by id and place, stays; every sentence that
-any other occurrence covers is removed.
+sentence. A short span is the shortest run of at least ``SPAN`` sentences, as
+they are before long ones are cut, and ``SHORT_WORDS`` words. Each is hashed
+(case and white space aside) and joined over all documents. The first
+occurrence, by id and place, stays; every sentence that any other occurrence
+covers is removed.
 
 Any 51 words that two texts share hold a whole span, wherever sentences end
 around them: at most ``LONG`` words at each edge belong to sentences that
 differ, and the 27 between make three sentences and ``LEAST_WORDS`` words.
+Shorter passages are found if they are whole sentences, by the short spans.
 
 Null ids come after all others. Rows of equal id and text are one document
 given repeatedly: they're treated alike and none counts against another. A null
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -39,6 +43,7 @@ from shelfwise.session import cut_lineage
 
 SPAN = 3
 LEAST_WORDS = 24
+SHORT_WORDS = 10
 LONG = 12
 CUTS = (8, 3, 1)
 END = re.compile(r"(?<=[.!?])\s+|\n\s*")
@@ -46,6 +51,11 @@ WORD = re.compile(r"\S+\s*")
 ROWS_AT_ONCE = 100_000
 
 
+@lru_cache(1 << 14)
+def word_hash(word: str) -> int:
+    return xxhash.xxh32_intdigest(word.strip().lower().encode("utf-8", "surrogatepass"))
+
+
 def cut_words(words: list[tuple[int, int]], level: int = 0) -> list[int]:
     """Where parts end, given the end and hash of each word of a long sentence."""
     if len(words) <= LONG or level == len(CUTS):
@@ -59,48 +69,84 @@ def cut_words(words: list[tuple[int, int]], level: int = 0) -> list[int]:
     return out + (cut_words(part, level + 1) if part else [])
 
 
-def sentences(text: str) -> list[tuple[int, int]]:
-    """Start and end of each sentence, the white space after it included."""
+def plain_sentences(text: str) -> list[tuple[int, int, int]]:
+    """Start, end and number of words of each sentence before long ones are cut."""
     cuts = [0, *(m.end() for m in END.finditer(text)), len(text)]
-    plain = [(a, b, len(text[a:b].split())) for a, b in zip(cuts, cuts[1:])]
+    return [p for p in ((a, b, len(text[a:b].split())) for a, b in zip(cuts, cuts[1:])) if p[2]]
+
+
+def sentences(text: str, plain: list[tuple[int, int, int]] | None = None) -> list[tuple[int, int]]:
+    """Start and end of each sentence, the white space after it included."""
     out = []
-    for single, group in groupby((p for p in plain if p[2]), lambda p: p[2] == 1):
+    for single, group in groupby(plain_sentences(text) if plain is None else plain, lambda p: p[2] == 1):
         rows = list(group)
         if single and len(rows) > LONG:
             rows = [(rows[0][0], rows[-1][1], len(rows))]
         for a, b, n in rows:
             if n > LONG:
-                ends = cut_words([(m.end(), xxhash.xxh32_intdigest(m[0].strip().lower().encode("utf-8", "surrogatepass")))
-                                  for m in WORD.finditer(text, a, b)])
+                ends = cut_words([(m.end(), word_hash(m[0])) for m in WORD.finditer(text, a, b)])
                 out += zip([a, *ends], ends)
             else:
                 out.append((a, b))
     return out
 
 
-def runs(sizes: list[int], span: int = SPAN) -> list[tuple[int, int]]:
+def runs(sizes: list[int], span: int = SPAN, least: int = LEAST_WORDS) -> list[tuple[int, int]]:
     """First sentence and end of each span, given the sentences' numbers of words."""
     out, end, words = [], 0, 0
     for i, size in enumerate(sizes):
-        while end < len(sizes) and (end - i < span or words < LEAST_WORDS):
+        while end < len(sizes) and (end - i < span or words < least):
             words += sizes[end]
             end += 1
-        if end - i < span or words < LEAST_WORDS:
+        if end - i < span or words < least:
             break
         out.append((i, end))
         words -= size
     return out
 
 
+def halves(joined: list[bytes]) -> tuple[int, int]:
+    h = xxhash.xxh3_128_intdigest(b"\n".join(joined))
+    return h >> 64, h & 0xFFFFFFFFFFFFFFFF
+
+
+def words_joined(text: str, a: int, b: int) -> bytes:
+    return " ".join(text[a:b].lower().split()).encode("utf-8", "surrogatepass")
+
+
 def span_hashes(text: str, span: int = SPAN) -> list[tuple[int, int, int]]:
     """(first sentence, two halves of a 128-bit hash) of each span."""
-    plain = [text[a:b].lower().split() for a, b in sentences(text)]
-    joined = [" ".join(p).encode("utf-8", "surrogatepass") for p in plain]
-    out = []
-    for i, end in runs([len(p) for p in plain], span):
-        h = xxhash.xxh3_128_intdigest(b"\n".join(joined[i:end]))
-        out.append((i, h >> 64, h & 0xFFFFFFFFFFFFFFFF))
-    return out
+    joined = [words_joined(text, a, b) for a, b in sentences(text)]
+    return [(i, *halves(joined[i:end])) for i, end in runs([j.count(b" ") + 1 for j in joined], span)]
+
+
+def short_runs(plain: list[tuple[int, int, int]], parts: list[tuple[int, int]], long: list[tuple[int, int]], span: int = SPAN) -> list[tuple[int, int]]:
+    """First sentence and end of each short span that spans inside it don't
+    cover. Sentences of several words are cut alike everywhere, so whether
+    they're covered follows from the short span alone."""
+    last = {parts[end - 1][1]: parts[i][0] for i, end in long}
+    return [(i, end) for i, end in runs([n for *_, n in plain], span, SHORT_WORDS)
+            if last.get(plain[end - 1][1], -1) < plain[i][0] or any(n == 1 for *_, n in plain[i:end])]
+
+
+def pieces(plain: list[tuple[int, int, int]], parts: list[tuple[int, int]]) -> list[int]:
+    """Where sentences begin, before and after cutting, and the end of the last."""
+    return sorted({a for a, *_ in plain} | {a for a, _ in parts} | {b for _, b in parts[-1:]})
+
+
+def all_hashes(text: str, span: int = SPAN) -> list[tuple[int, int, int]]:
+    """(place, two halves of a 128-bit hash) of each span and short span. The
+    place is twice the number of its first piece, and one more for a short span."""
+    plain = plain_sentences(text)
+    parts = sentences(text, plain)
+    at = {a: 2 * k for k, a in enumerate(pieces(plain, parts))}
+    joined = {p: words_joined(text, *p) for p in parts}
+    own = [joined[p] for p in parts]
+    long = runs([j.count(b" ") + 1 for j in own], span)
+    short = short_runs(plain, parts, long, span)
+    whole = {j: joined.get((a, b)) or words_joined(text, a, b) for j in {j for i, end in short for j in range(i, end)} for a, b, _ in plain[j:j + 1]}
+    return ([(at[parts[i][0]], *halves(own[i:end])) for i, end in long]
+            + [(at[plain[i][0]] + 1, *halves([whole[j] for j in range(i, end)])) for i, end in short])
 
 
 def spans(keyed: DataFrame, span: int = SPAN) -> DataFrame:
@@ -110,7 +156,7 @@ def spans(keyed: DataFrame, span: int = SPAN) -> DataFrame:
         for batch in batches:
             at, rows = [], []
             for i, text in enumerate(batch["text"]):
-                own = span_hashes(text, span) if text else []
+                own = all_hashes(text, span) if text else []
                 at += [i] * len(own)
                 rows += own
                 if len(rows) >= ROWS_AT_ONCE or i == len(batch) - 1:
@@ -153,10 +199,15 @@ def without(text, starts, span: int):
             if t is None or own is None:
                 out.append((t, 0))
                 continue
-            parts = sentences(t)
-            end = dict(runs([len(t[a:b].split()) for a, b in parts], span))
-            gone = {j for i in own for j in range(i, end[i])}
-            kept = [t[a:b] for i, (a, b) in enumerate(parts) if i not in gone]
+            plain = plain_sentences(t)
+            parts = sentences(t, plain)
+            cuts = pieces(plain, parts)
+            at = {a: k for k, a in enumerate(cuts)}
+            long = runs([len(t[a:b].split()) for a, b in parts], span)
+            end = {2 * at[parts[i][0]]: at[parts[j - 1][1]] for i, j in long}
+            end |= {2 * at[plain[i][0]] + 1: at[plain[j - 1][1]] for i, j in short_runs(plain, parts, long, span)}
+            gone = {j for i in own for j in range(i // 2, end[i])}
+            kept = [t[a:b] for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if i not in gone]
             out.append(("".join(kept).rstrip() if kept else "", len(gone)))
         return pd.DataFrame(out, columns=["text", "n_removed"])
 

@@ -79,3 +79,43 @@ def test_any_51_shared_words_hold_a_whole_span():
         passage = rnd.choice([prose(51, rnd.choice([0, 0.05, 0.12, 0.5, 1])), [rnd.choice(pool)] * 51, rnd.sample(pool, 5) * 10 + pool[:1]])
         a, b = (" ".join([*prose(rnd.randrange(40), 0.1), *passage, *prose(rnd.randrange(40), 0.1)]) for _ in range(2))
         assert {h[1:] for h in S.span_hashes(a)} & {h[1:] for h in S.span_hashes(b)}, passage
+
+
+def test_short_runs_of_whole_sentences_go_too(spark):
+    rnd = random.Random(12)
+    own = lambda: " ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(11)) + ". "
+    some = lambda *sizes: "".join(" ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(n)) + ". " for n in sizes)
+    spam = "".join("".join(rnd.choices("abcdefgh", k=6)) + "! " for _ in range(40))
+    rows, want = [], {}
+    for i, passage in enumerate([some(3, 4, 3), some(7, 7, 9), some(3, 3, 3, 3), some(15, 1, 1), some(11, 4, 9, 1), some(15, 9, 1), some(6, 5, 1), some(40, 2, 2)]):
+        first, second = own() + own(), own() + own()
+        rows += [(2 * i, first + passage + first[:5]), (2 * i + 1, second + passage + (spam if i == 6 else ""))]
+        want |= {2 * i: rows[-2][1], 2 * i + 1: (second + (spam if i == 6 else "")).rstrip()}
+    whole = some(4, 3, 4)
+    rows += [(100, whole), (101, whole), (102, some(2, 2, 2) * 2)]
+    want |= {100: whole, 101: "", 102: rows[-1][1]}        # six words aren't enough, and three sentences twice are one run of 12
+    got = {r.doc_id: r.text for r in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
+def test_every_repeated_window_of_three_sentences_goes(spark):
+    """Brute force over all windows of three whole sentences and ten words."""
+    rnd = random.Random(13)
+    pool = [" ".join("".join(rnd.choices("abcd", k=4)) for _ in range(rnd.choice([1, 1, 2, 4, 9, 14, 30]))) + rnd.choice([". ", "! ", "\n"]) for _ in range(40)]
+    rows = []
+    for i in range(150):
+        at = rnd.randrange(len(pool) - 3)
+        rows.append((i, "".join([f"x{i} " + rnd.choice(pool)] + pool[at:at + 3] + [f"y{i} z{i} " + rnd.choice(pool)])))
+    seen, gone = set(), {}
+    for d, t in rows:
+        plain = [t[a:b] for a, b, _ in S.plain_sentences(t)]
+        windows = [(i, tuple(" ".join(x.split()) for x in plain[i:i + 3])) for i in range(len(plain) - 2)]
+        for i, w in windows:
+            if sum(len(x.split()) for x in w) >= S.SHORT_WORDS and w in seen:
+                gone.setdefault(d, set()).update(plain[i:i + 3])
+        seen |= {w for _, w in windows}
+    left = {r.doc_id: r.text for r in S.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    assert len(gone) > 50
+    for d, own in gone.items():
+        assert sum(map(len, own)) <= len(texts[d]) - len(left[d]) + 2, (texts[d], left[d])
