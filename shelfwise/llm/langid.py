@@ -8,7 +8,8 @@ score is an average of character-run weights, so a text is scored in one pass
 over its characters whatever its length.
 
 Fitting takes about ``ROWS_A_LANGUAGE`` rows of each language, chosen by a
-hash of id and text; every whole text gets a prediction. A text that is null
+hash of id and text; rows of equal id and text are one document given
+repeatedly and count once. Every whole text gets a prediction. A text that is null
 or has no letter is ``und`` with score 0; so is any text if nothing was
 learned. A single learned language is always predicted.
 """
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from shelfwise.llm.common import crc_remainder
+from shelfwise.llm.learning import hashed_below
 
 ROWS_A_LANGUAGE = 1500
 SLOTS = 1 << 15
@@ -156,11 +158,12 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Fits on rows with a language whose id's crc32 leaves 0, 1 or 3 modulo 4."""
     known = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
              .where((crc_remainder("id", 4) != 2) & F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()))
-    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
+    counts = {r.lang: min(r.n, r.differ) for r in known.groupBy("lang").agg(
+        F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64("id", "text")).alias("differ")).collect()}
     if not counts:
         return Model([])
-    parts = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(int(1e6 * min(1, rows_a_language / n))))])
-    chosen = known.where(F.pmod(F.xxhash64("id", "text"), F.lit(1_000_000)) < parts[F.col("lang")])
+    shares = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1.0, rows_a_language / max(1, n))))])
+    chosen = known.where(hashed_below(shares[F.col("lang")], "id", "text")).distinct()
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters = letter_table()
@@ -170,8 +173,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
             yield pd.DataFrame({"id": batch["id"].astype("int64"), "lang": batch["lang"], "at": [a.astype(np.int32) for a, _ in found],
                                 "n": [n.astype(np.int32) for _, n in found]})
 
-    rows = (chosen.select("id", "lang", "text").mapInPandas(features, "id long, lang string, at array<int>, n array<int>")
-            .limit(2 * rows_a_language * len(counts)).collect())
+    rows = (chosen.select("id", "lang", "text").mapInPandas(features, "id long, lang string, at array<int>, n array<int>").collect())
     rows = [(r.id, r.lang, np.array(r.at, np.int64), np.array(r.n, float)) for r in rows if r.at]
     rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
     return Model([(at, n, lang) for _, lang, at, n in rows])

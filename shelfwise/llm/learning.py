@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def hashed_below(share: Column, *key: str) -> Column:
+    """Whether a 64-bit hash of ``key`` lies in the lowest ``share`` of its range, however small a share."""
+    return F.xxhash64(*key).cast("double") + F.lit(2.0 ** 63) <= share * F.lit(2.0 ** 64)
+
+
 def bounded_sample(rows: DataFrame, bound: int, *key: str) -> DataFrame:
     """About ``bound`` rows of ``rows``, at most twice as many, chosen by a hash of ``key``."""
     n = rows.count()
     if n <= bound:
         return rows
-    million = 1_000_000
-    return rows.where(F.pmod(F.xxhash64(*key), F.lit(million)) < int(million * bound / n)).limit(2 * bound)
+    return rows.where(hashed_below(F.lit(bound / n), *key)).limit(2 * bound)

@@ -36,6 +36,34 @@ def test_little_to_learn_from(spark):
     assert L.identify(docs.limit(0), L.learn(docs.limit(0))).count() == 0
 
 
+def test_samples_keep_their_size_at_every_number_of_rows(spark, monkeypatch):
+    from pyspark.sql import DataFrame, functions as F
+
+    from shelfwise.llm.learning import bounded_sample, hashed_below
+
+    ids = spark.range(3_000_000)
+    for share in (4e-5, 1.9e-6, 7e-7):                     # less than one in a million, too
+        want = 3_000_000 * share
+        assert abs(ids.where(hashed_below(F.lit(share), "id")).count() - want) <= 5 * want ** .5
+    assert ids.where(~hashed_below(F.lit(1.0), "id")).count() == 0
+    count = DataFrame.count
+    monkeypatch.setattr(DataFrame, "count", lambda df: 40_000_000)
+    kept = bounded_sample(ids, 30, "id")                   # three in four of a million: was cut down to none
+    monkeypatch.setattr(DataFrame, "count", count)
+    assert kept.count() > 0
+
+
+def test_repeated_rows_do_not_take_the_places_of_others(spark, monkeypatch):
+    rows = corpus(400)
+    docs = spark.createDataFrame(rows + [(1, rows[1][1], rows[1][2])] * 3000, "doc_id long, text string, lang string")
+    seen, model = [], L.Model
+    monkeypatch.setattr(L, "Model", lambda own: seen.append(own) or model(own))
+    L.learn(docs, rows_a_language=100)
+    L.learn(docs.limit(0).unionByName(spark.createDataFrame(rows, docs.schema)), rows_a_language=100)
+    by = [{x: sum(lang == x for *_, lang in own) for x in STEMS} for own in seen]
+    assert by[0] == by[1] and min(by[0].values()) > 40
+
+
 def test_families_come_first():
     model = L.Model([])
     model.langs, model.families = ["de", "en", "es"], {"germanic": ["de", "en"], "romance": ["es"]}
