@@ -1,6 +1,8 @@
 """Benchmark decontamination by CGK embedding and bit-sampling LSH.
 
-Texts and benchmark items are rows of words (letters and digits, lower case).
+Texts and benchmark items are rows of words: letters and digits in lower case,
+with their marks, cut at everything else. Chinese, Japanese, Thai, Lao, Khmer
+and Burmese are written without spaces, so each of their characters is a word.
 The CGK embedding walks over a row, writes the current word at every step and
 moves on or stays by a random bit of the step and word; rows a few edits apart
 fall into step again, so edit distance becomes Hamming distance. A repetition
@@ -16,14 +18,18 @@ within reach of, as too few of their words are words of its items; this loses
 nothing. The benchmark is read in blocks of ``BLOCK_ITEMS`` items, each checked
 against all documents, so no more than a block is ever sent to tasks.
 
-Items of fewer than ``LEAST_WORDS`` words (null and empty ones too) are ordinary
-phrases and not searched. Null and empty documents hold no item. Repeated rows
+With ``short_items``, as the query and the pipeline have it, items of fewer than
+``LEAST_WORDS`` words are found where all their words stand in a row, without
+edits; otherwise they count as ordinary phrases and are not searched. Items
+without a word (null and empty ones too) never are. Null and empty documents hold no item. Repeated rows
 of documents each get results; equal items under two ids are both found.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
+from functools import cache
 from math import ceil, log
 
 import numpy as np
@@ -50,8 +56,21 @@ def repetitions(recall: float = TARGET_RECALL, sampled: int = SAMPLED, agrees: f
     return ceil(log(1 - recall) / log(1 - agrees ** sampled))
 
 
-def word_table() -> np.ndarray:
-    return np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
+#: Scripts without spaces between words: each character is a word.
+NO_SPACES = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x30FF),
+             (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xA9E0, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF),
+             (0xFF66, 0xFF9D), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF))
+
+
+@cache
+def character_table() -> np.ndarray:
+    """By code point: 0 for what cuts words, 1 for letters, digits and marks, 2 for a character that is a word."""
+    kinds = [unicodedata.category(chr(c)) for c in range(0x110000)]
+    out = np.fromiter((k[0] in "LNM" for k in kinds), np.int8, 0x110000)
+    out[0x200C:0x200E] = 1                                 # joiners inside words
+    for a, b in NO_SPACES:
+        out[a:b + 1] *= 2
+    return out
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,11 +84,16 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts in a row, and where each text's begin (one more at the end)."""
-    data = [(t or "").lower().encode("utf-8", "surrogatepass") + b" " for t in texts]
-    buf = np.frombuffer(b"".join(data), np.uint8)
-    good = word_table()[buf]
-    edge = np.diff(np.concatenate([[0], good.view(np.int8), [0]]))
-    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    data = [(t or "").lower() + " " for t in texts]
+    buf = np.frombuffer("".join(data).encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = character_table()[buf]
+    good = kind > 0
+    before = np.concatenate([[0], kind[:-1]]) if len(kind) else kind
+    first = good & ((before == 0) | (kind == 2) | (before == 2))
+    begin = np.flatnonzero(first)
+    stop = np.concatenate([~good | first, [True]])
+    ends = np.flatnonzero(stop)
+    end = ends[np.searchsorted(ends, begin, "right")] if len(begin) else begin
     up, down = powers(len(buf))
     sums = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * up[:len(buf)], out=sums[1:])
@@ -137,12 +161,55 @@ def walk(flat: np.ndarray, at: np.ndarray, end: np.ndarray, odd: np.ndarray, sam
                 break
 
 
+class ShortItems:
+    """Items of ``size`` words, which are found where they stand word by word."""
+
+    def __init__(self, size: int, items: dict[tuple[int, ...], list[int]]):
+        words = np.array(list(items), np.uint64)
+        key = self.keys(words.ravel(), size)[::size]
+        by = np.argsort(key, kind="stable")
+        self.size, self.words, self.key = size, words[by], key[by]
+        self.ids = [list(items.values())[k] for k in by]
+        self.marks = bitmap(self.key)
+
+    @staticmethod
+    def keys(flat: np.ndarray, size: int) -> np.ndarray:
+        """Of the words from each place on."""
+        n = len(flat) - size + 1
+        key = np.zeros(max(0, n), np.uint64)
+        for k in range(size if n > 0 else 0):
+            key = fold(key, flat[k:k + n])
+            key = key ^ (key >> np.uint64(32))
+        return key
+
+    def find(self, flat: np.ndarray, stop: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(first word, item id) of the items in texts that end at ``stop``."""
+        key = self.keys(flat[:len(stop)], self.size)
+        place = np.flatnonzero(self.marks[(key >> np.uint64(48)).astype(np.int64)])
+        place = place[place + self.size <= stop[place]]
+        for lo in range(0, len(place), 65536):
+            part = place[lo:lo + 65536]
+            a, b = np.searchsorted(self.key, key[part], "left"), np.searchsorted(self.key, key[part], "right")
+            for off in range(int((b - a).max(initial=0))):         # one, unless keys collide
+                at = np.flatnonzero(a + off < b)
+                same = (self.words[a[at] + off] == flat[part[at][:, None] + np.arange(self.size)]).all(axis=1)
+                for p, k in zip(part[at[same]].tolist(), (a[at[same]] + off).tolist()):
+                    for i in self.ids[k]:
+                        yield p, i
+
+
 class Index:
     """A block of items, ready to be searched in documents."""
 
-    def __init__(self, items: list[tuple[int, str | None]], reps: int | None = None):
+    def __init__(self, items: list[tuple[int, str | None]], reps: int | None = None, short_items: bool = False):
         hashes, begin = words_of([t for _, t in items])
-        rows = [(hashes[a:b], i) for (i, _), a, b in zip(items, begin, begin[1:]) if b - a >= LEAST_WORDS]
+        rows = [(hashes[a:b], i) for (i, _), a, b in zip(items, begin, begin[1:])]
+        short: dict[int, dict[tuple[int, ...], list[int]]] = {}
+        for own, i in rows:
+            if short_items and 0 < len(own) < LEAST_WORDS:
+                short.setdefault(len(own), {}).setdefault(tuple(own.tolist()), []).append(i)
+        self.short = [ShortItems(n, own) for n, own in sorted(short.items())]
+        rows = [r for r in rows if len(r[0]) >= LEAST_WORDS]
         rows.sort(key=lambda r: (len(r[0]), r[1]))
         self.classes = []
         while rows:
@@ -169,6 +236,9 @@ class Index:
         flat = np.append(hashes, np.uint64(0))
         doc = np.repeat(np.arange(len(texts)), np.diff(begin))
         stop = begin[1:][doc] if len(doc) else np.zeros(0, np.int64)
+        for own in self.short:
+            for p, i in own.find(hashes, stop):
+                yield int(doc[p]), i, int(p - begin[doc[p]]), 0
         for own in self.classes:
             inside = own.marks[(hashes >> np.uint64(48)).astype(np.int64)]
             look = np.flatnonzero(inside)                  # the bitmap lets a few more through
@@ -227,22 +297,23 @@ def edit_distance(words: np.ndarray, flat: np.ndarray, place: np.ndarray, stop:
     return row.min(axis=1)
 
 
-def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", block_items: int = BLOCK_ITEMS) -> Iterator[Index]:
+def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", block_items: int = BLOCK_ITEMS,
+                short_items: bool = False) -> Iterator[Index]:
     """The benchmark's items, a bounded block at a time."""
     items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(text_col).alias("t")).where("i IS NOT NULL AND t IS NOT NULL").distinct()
     n = ceil(items.count() / block_items)
     for b in range(n):
         rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b).collect()
-        yield Index(sorted((r.i, r.t) for r in rows))
+        yield Index(sorted((r.i, r.t) for r in rows), short_items=short_items)
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   item_col: str = "item_id", block_items: int = BLOCK_ITEMS) -> DataFrame:
+                   item_col: str = "item_id", block_items: int = BLOCK_ITEMS, short_items: bool = False) -> DataFrame:
     """(doc_id, item_id, first_word, edits) for each document and item that it holds."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     out = None
-    for index in item_blocks(benchmark, item_col, text_col="text", block_items=block_items):
+    for index in item_blocks(benchmark, item_col, text_col="text", block_items=block_items, short_items=short_items):
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
@@ -271,10 +342,10 @@ def clean_column(text: str, index: Broadcast):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                      block_items: int = BLOCK_ITEMS) -> DataFrame:
+                      block_items: int = BLOCK_ITEMS, short_items: bool = False) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item."""
     context = docs.sparkSession.sparkContext
-    for index in item_blocks(benchmark, item_col, block_items=block_items):
+    for index in item_blocks(benchmark, item_col, block_items=block_items, short_items=short_items):
         flag = fresh(docs, "is_clean")
         docs = docs.withColumn(flag, clean_column(text_col, context.broadcast(index))).where(flag).drop(flag)
     return docs

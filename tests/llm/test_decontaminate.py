@@ -82,3 +82,26 @@ def test_leaving_windows_out_loses_nothing():
         own.common = -1                        # no window is left out
     assert {(d, i) for d, i, *_ in index.find(texts)} == found
     assert np.all(D.edit_distance(np.array([1, 2, 3], np.uint64), np.array([1, 3, 9, 0], np.uint64), np.array([0, 1]), np.array([3, 3]), 3) == [1, 2])
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    chinese = "从前有一座山山里有一座庙庙里有一个老和尚在讲故事"
+    thai = "ประเทศไทยมีกี่จังหวัดในปัจจุบัน"
+    items = [(1, "Who wrote Hamlet?"), (2, chinese), (3, thai), (4, "Éa\u00a0bé—cé、dé"), (5, "quid"), (6, "Who wrote Hamlet?"),
+             (7, "one two three four five six seven")]
+    rows = [(0, "Tell me: who WROTE hamlet, and when?"), (1, "who has wrote Hamlet"), (2, "他说：「" + chinese[:10] + "，" + chinese[10:] + "」。"),
+            (3, chinese[:5] + "大" + chinese[6:] + "后来"), (4, "x " + thai + " y"), (5, "éa bé cé dé"), (6, "who wrote"), (7, "hamlet"), (8, "quid pro"),
+            (9, "liquid"), (10, "one two three four five six"), (11, "0 one two three four five six seven"), (12, None), (13, "five six seven one two three four")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items + [(8, ""), (9, "?!")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.first_word, r.edits) for r in D.contaminations(docs, bench, short_items=True).collect()}
+    assert got == {(0, 1): (2, 0), (0, 6): (2, 0), (2, 2): (2, 0), (3, 2): (0, 1), (4, 3): (1, 0), (5, 4): (0, 0), (8, 5): (0, 0), (11, 7): (1, 0)}
+    assert sorted(r.doc_id for r in D.drop_contaminated(docs, bench, short_items=True).collect()) == [1, 6, 7, 9, 10, 12, 13]
+
+
+def test_short_items_are_found_wherever_they_stand():
+    rnd = random.Random(8)
+    items = [(i, " ".join(rnd.choices("abcd", k=rnd.randrange(1, 8)))) for i in range(40)]
+    texts = [" ".join(rnd.choices("abcdef", k=rnd.randrange(0, 30))) for _ in range(200)]
+    want = {(d, i) for d, t in enumerate(texts) for i, x in items if f" {x} " in f" {t} "}
+    assert {(d, i) for d, i, *_ in D.Index(items, short_items=True).find(texts)} == want and len(want) > 100
