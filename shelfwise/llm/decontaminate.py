@@ -22,7 +22,9 @@ With ``short_items``, as the query and the pipeline have it, items of fewer than
 ``LEAST_WORDS`` words are found where all their words stand in a row, without
 edits; otherwise they count as ordinary phrases and are not searched. Items
 without a word (null and empty ones too) never are. Null and empty documents hold no item. Repeated rows
-of documents each get results; equal items under two ids are both found.
+of documents each get results; equal items under two ids are both found. An item without an id is searched, too,
+when documents are dropped; it has no row in the report, which names items by
+their ids. Ids are integers or text.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 from shelfwise.llm.common import fresh
 
@@ -201,7 +204,7 @@ class ShortItems:
 class Index:
     """A block of items, ready to be searched in documents."""
 
-    def __init__(self, items: list[tuple[int, str | None]], reps: int | None = None, short_items: bool = False):
+    def __init__(self, items: list[tuple[int | str, str | None]], reps: int | None = None, short_items: bool = False):
         hashes, begin = words_of([t for _, t in items])
         rows = [(hashes[a:b], i) for (i, _), a, b in zip(items, begin, begin[1:])]
         short: dict[int, dict[tuple[int, ...], list[int]]] = {}
@@ -298,19 +301,25 @@ def edit_distance(words: np.ndarray, flat: np.ndarray, place: np.ndarray, stop:
 
 
 def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", block_items: int = BLOCK_ITEMS,
-                short_items: bool = False) -> Iterator[Index]:
-    """The benchmark's items, a bounded block at a time."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("i"), F.col(text_col).alias("t")).where("i IS NOT NULL AND t IS NOT NULL").distinct()
-    n = ceil(items.count() / block_items)
-    for b in range(n):
-        rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b).collect()
-        yield Index(sorted((r.i, r.t) for r in rows), short_items=short_items)
+                short_items: bool = False, without_ids: bool = False) -> Iterator[Index]:
+    """The benchmark's items, a bounded block at a time. ``without_ids``: then
+    the texts that have no id in any row, under a number of their own."""
+    items = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).where("t IS NOT NULL")
+    parts = [items.where("i IS NOT NULL").distinct()]
+    if without_ids:
+        parts.append(items.groupBy("t").agg(F.max("i").alias("i")).where("i IS NULL").select(F.xxhash64("t").alias("i"), "t"))
+    for part in parts:
+        n = ceil(part.count() / block_items)
+        for b in range(n):
+            rows = part.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b).collect()
+            yield Index(sorted((r.i, r.t) for r in rows), short_items=short_items)
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    item_col: str = "item_id", block_items: int = BLOCK_ITEMS, short_items: bool = False) -> DataFrame:
     """(doc_id, item_id, first_word, edits) for each document and item that it holds."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType
+    item_kind = "string" if benchmark.schema[item_col].dataType == StringType() else "long"
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     out = None
     for index in item_blocks(benchmark, item_col, text_col="text", block_items=block_items, short_items=short_items):
@@ -322,10 +331,10 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
                 found = [(ids[d], i, p, e) for d, i, p, e in shared.value.find(batch["text"].tolist())]
                 yield pd.DataFrame(found, columns=["doc_id", "item_id", "first_word", "edits"])
 
-        part = rows.mapInPandas(run, "doc_id string, item_id long, first_word int, edits int")
+        part = rows.mapInPandas(run, f"doc_id string, item_id {item_kind}, first_word int, edits int")
         out = part if out is None else out.unionByName(part)
     if out is None:
-        out = spark.createDataFrame([], "doc_id string, item_id long, first_word int, edits int")
+        out = spark.createDataFrame([], f"doc_id string, item_id {item_kind}, first_word int, edits int")
     return out.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
@@ -343,9 +352,9 @@ def clean_column(text: str, index: Broadcast):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                       block_items: int = BLOCK_ITEMS, short_items: bool = False) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no item."""
+    """The rows of ``docs``, all columns, that hold no item, with or without an id."""
     context = docs.sparkSession.sparkContext
-    for index in item_blocks(benchmark, item_col, block_items=block_items, short_items=short_items):
+    for index in item_blocks(benchmark, item_col, block_items=block_items, short_items=short_items, without_ids=True):
         flag = fresh(docs, "is_clean")
         docs = docs.withColumn(flag, clean_column(text_col, context.broadcast(index))).where(flag).drop(flag)
     return docs

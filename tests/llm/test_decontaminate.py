@@ -105,3 +105,11 @@ def test_short_items_are_found_wherever_they_stand():
     texts = [" ".join(rnd.choices("abcdef", k=rnd.randrange(0, 30))) for _ in range(200)]
     want = {(d, i) for d, t in enumerate(texts) for i, x in items if f" {x} " in f" {t} "}
     assert {(d, i) for d, i, *_ in D.Index(items, short_items=True).find(texts)} == want and len(want) > 100
+
+
+def test_items_without_an_id_and_with_text_ids(spark):
+    items, _ = sample()
+    docs = spark.createDataFrame([(0, "x " + items[0][1]), (1, items[1][1] + " y"), (2, "z")], "doc_id long, text string")
+    bench = spark.createDataFrame([("q-0", items[0][1]), (None, items[1][1]), ("q-9", None)], "item_id string, text string")
+    assert [(r.doc_id, r.item_id, r.first_word) for r in D.contaminations(docs, bench).collect()] == [(0, "q-0", 1)]
+    assert [r.doc_id for r in D.drop_contaminated(docs, bench).collect()] == [2]
