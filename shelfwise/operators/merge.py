@@ -20,13 +20,14 @@ maximum, a delta row can only match target rows with ``ingestion_time = wm``:
   together with the new dates (dynamic partition overwrite). History is
   never read or rewritten.
 
-So a batch costs O(batch), not O(table) or O(day).
-
-Failure safety: the delta and the merged tail are first written to the shared
-scratch folder (lineage cut, no re-computation of the model on retry), then
-copied over the target partitions. The final copy replaces whole partitions
-from an immutable input, so re-running it after a lost executor or driver
-gives the same table.
+So a batch costs O(batch) and, where rows at the watermark meet, its day; not O(table).
+
+Failure safety: the rows that a merge adds are staged beside the table, and
+published by a record that is written first (see ``sources.warehouse``): the
+date folders move into place in ascending order, and a publish that stopped
+half-way is finished before the next merge reads the watermark. The watermark
+comes from the record of completed publishes; sources are read from the folders
+of its date on, so neither target nor source is listed as a whole.
 """
 
 from __future__ import annotations
@@ -35,13 +36,12 @@ import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions.dates import ntz_lit
 
 from shelfwise.schemas import PARTITION_COLUMN
-from shelfwise.session import scratch_dir
 from shelfwise.sources.warehouse import Warehouse, with_partition
 
 # Fixed value: watermark used when the target exists but is empty.
@@ -60,7 +60,7 @@ class MergeResult:
     watermark: dt.datetime | None
     delta_rows: int
     appended: bool = True          # False when matched keys forced a partition rewrite
-    delta_path: str | None = None  # the written delta (model columns + ingestion_date)
+    publish: int | None = None     # number of the publish; None when nothing was added
 
 
 def high_watermark(target: DataFrame, default: dt.datetime = DEFAULT_WATERMARK, newest: dt.date | None = None) -> dt.datetime:
@@ -92,12 +92,13 @@ def watermark_filter(df: DataFrame, wm: dt.datetime, inclusive: bool) -> DataFra
     return df.filter(cond)
 
 
-def incremental_merge(spark: SparkSession, wh: Warehouse, table: str, source: DataFrame,
+def incremental_merge(spark: SparkSession, wh: Warehouse, table: str, source: DataFrame | str,
                       model: Callable[[DataFrame], DataFrame], keys: Sequence[str], columns: Sequence[str],
                       inclusive: bool, fail_on_duplicate_match: bool = False) -> MergeResult:
     """Run ``model`` on the new part of ``source`` and upsert it into
-    ``table``. ``source`` may carry partition columns (they enable pruning);
-    ``model`` must return exactly ``columns``.
+    ``table``. ``source`` is a table of the warehouse, of which only the folders from the
+    watermark's date on are opened, or a DataFrame (partition columns enable
+    pruning); ``model`` must return exactly ``columns``.
 
     Matched keys use delete+insert: every target row with a delta key is
     replaced by all delta rows with that key. The inclusive watermark
@@ -105,54 +106,54 @@ def incremental_merge(spark: SparkSession, wh: Warehouse, table: str, source: Da
     duplicated at that instant meets itself again; a warehouse MERGE aborts
     there (and on every later run), delete+insert leaves the rows as they
     were. ``fail_on_duplicate_match=True`` restores the abort."""
-    if not wh.exists(table):
-        obs = Observation(f"load_{table}")
-        out = with_partition(model(source).select(*columns)).observe(obs, F.count(F.lit(1)).alias("n"))
-        wh.write_partitioned(table, out)          # row count observed during the write, no re-read
-        return MergeResult(table, True, None, obs.get["n"])
-
-    target = wh.read(table)
-    wm = high_watermark(target, newest=wh.newest_date(table))
-    delta_path = scratch_dir(spark, "delta")
-    obs = Observation(f"delta_{table}")
-    (with_partition(model(watermark_filter(source, wm, inclusive)).select(*columns))
-        .observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(delta_path))
-    delta = spark.read.parquet(delta_path)
-    n_delta = obs.get["n"]
-    if n_delta == 0:
+    wh.recover(table)
+    first = not wh.exists(table)
+    wm = None if first else wh.watermark(table) or DEFAULT_WATERMARK
+    if isinstance(source, str):
+        if not wh.exists(source):
+            return MergeResult(table, first, wm, 0)
+        source = wh.read(source) if first else wh.read_since(source, wm.date())
+    if first:
+        staged = wh.stage(table, model(source).select(*columns))
+        if not staged.rows:
+            wh.discard(staged)
+            return MergeResult(table, True, None, 0)
+        return MergeResult(table, True, None, staged.rows, publish=wh.publish(table, staged))
+
+    staged = wh.stage(table, model(watermark_filter(source, wm, inclusive)).select(*columns))
+    if staged.rows == 0:
+        wh.discard(staged)
         return MergeResult(table, False, wm, 0)
+    day = wm.date().isoformat()
+    if not inclusive or day not in staged.dates:
+        return MergeResult(table, False, wm, staged.rows, publish=wh.publish(table, staged))
 
+    # Only rows at exactly the watermark can match, so only its day is looked at.
     wm_lit = ntz_lit(wm)
-    at_wm = (target.filter(F.col(PARTITION_COLUMN) == F.lit(wm.date())).filter(F.col(TS) == wm_lit)
-                   .select(*columns))
-    if not inclusive:
-        wh.append_partitioned(table, delta.select(*columns, PARTITION_COLUMN))
-        return MergeResult(table, False, wm, n_delta, True, delta_path)
-
-    delta_wm = delta.filter(F.col(TS) == wm_lit).select(*columns)
+    old_day = wh.read_since(table, wm.date()).filter(F.col(PARTITION_COLUMN) == F.lit(wm.date())).select(*columns)
+    new_day = wh.read_staged(staged, day).select(*columns)
+    at_wm, delta_wm = old_day.filter(F.col(TS) == wm_lit), new_day.filter(F.col(TS) == wm_lit)
     matched = delta_wm.select(*keys).distinct().join(at_wm.select(*keys).distinct(), list(keys))
     if fail_on_duplicate_match:
-        dup = (delta.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-                    .join(matched, list(keys), "left_semi"))
+        dup = (new_day.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                      .join(matched, list(keys), "left_semi"))
         if not dup.isEmpty():
+            wh.discard(staged)
             raise DuplicateMatchError(f"{table}: several source rows match one target row")
     if matched.isEmpty():
-        wh.append_partitioned(table, delta.select(*columns, PARTITION_COLUMN))
-        return MergeResult(table, False, wm, n_delta, True, delta_path)
+        return MergeResult(table, False, wm, staged.rows, publish=wh.publish(table, staged))
     # The inclusive watermark re-selects the source rows at exactly ``wm`` on
     # every run. When the re-selected rows of every matched key equal the
     # stored ones (same multiset, NULL-safe), replacing them changes nothing:
     # append only the unmatched rows. Only rows at one instant are compared.
     d_m = delta_wm.join(matched, list(keys), "left_semi")
     t_m = at_wm.join(matched, list(keys), "left_semi")
-    if d_m.exceptAll(t_m).isEmpty() and t_m.exceptAll(d_m).isEmpty():
-        new_rows = delta.join(matched, list(keys), "left_anti").select(*columns, PARTITION_COLUMN)
-        wh.append_partitioned(table, new_rows)
-        return MergeResult(table, False, wm, n_delta, True, delta_path)
-
-    tail = target.filter(F.col(PARTITION_COLUMN) >= F.lit(wm.date())).select(*columns, PARTITION_COLUMN)
-    keep = tail.join(delta.select(*keys).distinct(), list(keys), "left_anti")
-    merged_path = scratch_dir(spark, "merged")
-    keep.unionByName(delta.select(*columns, PARTITION_COLUMN)).write.mode("overwrite").parquet(merged_path)
-    wh.write_partitioned(table, spark.read.parquet(merged_path))
-    return MergeResult(table, False, wm, n_delta, False, delta_path)
+    same = d_m.exceptAll(t_m).isEmpty() and t_m.exceptAll(d_m).isEmpty()
+    rows = new_day.join(matched, list(keys), "left_anti")
+    if not same:
+        rows = new_day.unionByName(old_day.join(new_day.select(*keys).distinct(), list(keys), "left_anti"))
+    staged = wh.restage(staged, day, with_partition(rows.select(*columns)))
+    if not staged.dates:
+        wh.discard(staged)
+        return MergeResult(table, False, wm, staged.rows)
+    return MergeResult(table, False, wm, staged.rows, same, wh.publish(table, staged, () if same else (day,)))

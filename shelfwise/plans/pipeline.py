@@ -4,7 +4,7 @@
       -> staging merge      (inclusive watermark)
       -> signals merge      (strict watermark, reads staging)
       -> fact merge         (strict watermark, reads signals)
-      -> dimensions         (full refresh from staging)
+      -> dimensions         (as of staging's watermark, see ``extend_dims``)
       -> optional checks
 
 Each step reads the previous layer's *table*, so every step starts from
@@ -18,18 +18,17 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.dates import ntz_lit
 
 from shelfwise.operators import quality
 from shelfwise.operators.dedup import top1_per_key
-from shelfwise.operators.merge import DEFAULT_WATERMARK, MergeResult, high_watermark, incremental_merge, late_filter
+from shelfwise.operators.merge import DEFAULT_WATERMARK, MergeResult, incremental_merge, late_filter
 from shelfwise.plans import models as m
 from shelfwise.schemas import (DIM_DATES_COLUMNS, DIM_PRODUCTS_COLUMNS, DIM_SUPPLIERS_COLUMNS, FCT_COLUMNS,
                                FCT_KEY, INT_COLUMNS, INT_KEY, RAW_COLUMNS, STG_COLUMNS, STG_KEY)
-from shelfwise.session import cut_lineage
 from shelfwise.sources.warehouse import Warehouse
 
 RAW = "raw.products"
@@ -56,6 +55,8 @@ class BatchResult:
 
 def table(wh: Warehouse, name: str) -> DataFrame:
     """A layer table with the model's own columns (partition columns off)."""
+    if name in DIM_STATE:
+        return wh.read(name).filter("is_current").select(*LAYER_COLUMNS[name])
     return wh.read_model(name, LAYER_COLUMNS[name])
 
 
@@ -67,8 +68,9 @@ def run_batch(spark: SparkSession, wh: Warehouse, raw_batch: DataFrame, load_id:
     # Late rows of this load, against the staging watermark before the merge
     # (they are stored in raw but never reach staging).
     # Counted while the load is written, in the same pass.
-    wm: dt.datetime = high_watermark(wh.read(STG), newest=wh.newest_date(STG)) if wh.exists(STG) else DEFAULT_WATERMARK
+    wh.recover(STG)
     first = not wh.exists(STG)
+    wm: dt.datetime = wh.watermark(STG) or DEFAULT_WATERMARK
     seen = Observation(f"load-{uuid.uuid4().hex}")
     wh.write_load(RAW, raw_batch.observe(seen, F.count(F.lit(1)).alias("rows"),
                                          F.count_if(F.col("ingestion_time") < ntz_lit(wm)).alias("late"),
@@ -77,15 +79,14 @@ def run_batch(spark: SparkSession, wh: Warehouse, raw_batch: DataFrame, load_id:
     if not first:
         res.late_rows, res.null_time_rows = seen.get["late"], seen.get["nulls"]
 
-    stg_merge = incremental_merge(spark, wh, STG, wh.read(RAW), m.stg_products, STG_KEY, STG_COLUMNS,
-                                  inclusive=True)
-    res.merges.append(stg_merge)
-    res.merges.append(incremental_merge(spark, wh, INT, wh.read(STG), m.int_inventory_signals, INT_KEY,
-                                        INT_COLUMNS, inclusive=False))
-    res.merges.append(incremental_merge(spark, wh, FCT, wh.read(INT), m.fct_inventory, FCT_KEY, FCT_COLUMNS,
-                                        inclusive=False))
-    if stg_merge.appended and stg_merge.delta_path and dims_hold(wh, wm):
-        extend_dims(spark, wh, spark.read.parquet(stg_merge.delta_path))
+    for target, source, model, keys, inclusive in ((STG, RAW, m.stg_products, STG_KEY, True),
+                                                   (INT, STG, m.int_inventory_signals, INT_KEY, False),
+                                                   (FCT, INT, m.fct_inventory, FCT_KEY, False)):
+        res.merges.append(incremental_merge(spark, wh, target, source, model, keys, LAYER_COLUMNS[target], inclusive))
+    if not wh.exists(STG):                     # no row so far
+        return res
+    if all(wh.exists(d) and (wh.record(d) or {}).get("as_of") for d in (DIM_P, DIM_S, DIM_D)):
+        extend_dims(wh)
     else:
         refresh_dims(wh)
     if run_checks or fail_on_violation:
@@ -99,53 +100,59 @@ class CheckViolation(RuntimeError):
     """Checks that the layers violate after a load; its argument lists them."""
 
 
-def dims_hold(wh: Warehouse, wm: dt.datetime) -> bool:
-    """Whether the dimensions took in all of staging up to its watermark before
-    this load. They lag when a run stopped between the staging merge and the
-    dimensions; the merge of a replay then brings too little to catch up."""
-    if not all(wh.exists(d) for d in (DIM_P, DIM_S, DIM_D)):
-        return False
-    newest = [wh.read(d).agg(F.max("ingestion_time")).first()[0] for d in DIM_STATE]
-    date = wh.read(DIM_D).agg(F.max("full_date")).first()[0]
-    return all(t is not None and t >= wm for t in newest) and date is not None and date >= wm.date()
-
-
-# Dimension tables physically keep the winning row's ingestion time (a column
-# consumers never see: ``table()`` projects the model columns) so that they
-# can be extended from a staging delta.
+# Dimension tables physically keep, for each key, the latest row before the
+# instant that they are as of (staging's watermark) and the latest row at that
+# instant, with their ingestion times: rows at the instant may still be
+# replaced, those before it can't. ``is_current`` marks the one that counts;
+# consumers see only that (``table()``).
 DIM_STATE = {DIM_P: ("product_id", m.DIM_PRODUCTS_TIE_BREAK),
              DIM_S: ("supplier_name", m.DIM_SUPPLIERS_TIE_BREAK)}
 
 
-def _latest(src: DataFrame, name: str) -> DataFrame:
+def _latest(src: DataFrame, name: str, as_of: dt.datetime | None) -> DataFrame:
     key, tie = DIM_STATE[name]
-    return top1_per_key(src.select(*LAYER_COLUMNS[name], "ingestion_time"), [key],
+    at = F.lit(False) if as_of is None else F.coalesce(F.col("ingestion_time") == ntz_lit(as_of), F.lit(False))
+    rows = top1_per_key(src.select(*LAYER_COLUMNS[name], "ingestion_time", at.alias("at_instant")), [key, "at_instant"],
                         primary=[F.col("ingestion_time").desc_nulls_last()], tie_break=tie)
+    last = F.max("at_instant").over(Window.partitionBy(key))
+    return rows.withColumn("is_current", F.col("at_instant") == last).drop("at_instant")
+
+
+def _dim_state(wh: Warehouse) -> dict:
+    as_of = wh.watermark(STG)
+    return {"as_of": as_of.isoformat() if as_of else None, "staging": (wh.record(STG) or {}).get("publish")}
 
 
 def refresh_dims(wh: Warehouse) -> None:
     """Full rebuild from all of staging (the model's definition): a
     top-1-per-key or a distinct each, partially aggregated before the
     shuffle, so the shuffle carries about one row per key and map task."""
-    stg = table(wh, STG)
-    wh.overwrite(DIM_P, _latest(stg, DIM_P))
-    wh.overwrite(DIM_S, _latest(stg, DIM_S))
-    wh.overwrite(DIM_D, m.dim_dates(stg))
-
-
-def extend_dims(spark: SparkSession, wh: Warehouse, stg_delta: DataFrame) -> None:
-    """Same result as ``refresh_dims`` at O(dimension + batch) cost, valid
-    when staging only grew (the staging merge appended): the latest row per
-    key over all of staging is the latest of (current winner, new rows),
-    and the dates are the old dates plus the new ones. The new version is
-    written to the shared folder first, then replaces the table (a path
-    cannot be overwritten while it is being read)."""
-    for name in (DIM_P, DIM_S):
-        cols = [*LAYER_COLUMNS[name], "ingestion_time"]
-        cand = wh.read(name).select(*cols).unionByName(stg_delta.select(*cols))
-        wh.overwrite(name, cut_lineage(_latest(cand, name), "dim"))
-    dates = wh.read(DIM_D).select(*LAYER_COLUMNS[DIM_D]).unionByName(m.dim_dates(stg_delta)).distinct()
-    wh.overwrite(DIM_D, cut_lineage(dates, "dim"))
+    stg, state = table(wh, STG), _dim_state(wh)
+    for name in DIM_STATE:
+        wh.overwrite(name, _latest(stg, name, wh.watermark(STG)), **state)
+    wh.overwrite(DIM_D, m.dim_dates(stg), **state)
+
+
+def extend_dims(wh: Warehouse) -> None:
+    """Same result as ``refresh_dims`` at O(dimension + batch) cost. What a
+    dimension holds from before the instant it is as of stands; everything at
+    or after it is taken from staging's folders of those dates. So rows at the
+    instant that a merge replaced are read anew, a dimension that a stopped run left
+    behind catches up, and no earlier staging is read in either case."""
+    state = _dim_state(wh)
+    for name in (DIM_P, DIM_S, DIM_D):
+        old = wh.record(name)
+        if old["staging"] == state["staging"]:
+            continue                           # staging is as it was
+        since = dt.datetime.fromisoformat(old["as_of"])
+        new = wh.read_since(STG, since.date()).filter(F.col("ingestion_time") >= ntz_lit(since))
+        if name == DIM_D:
+            rows = wh.read(name).select(*LAYER_COLUMNS[name]).unionByName(m.dim_dates(new)).distinct()
+        else:
+            cols = [*LAYER_COLUMNS[name], "ingestion_time"]
+            stands = wh.read(name).filter(F.col("ingestion_time").isNull() | (F.col("ingestion_time") < ntz_lit(since)))
+            rows = _latest(stands.select(*cols).unionByName(new.select(*cols)), name, wh.watermark(STG))
+        wh.overwrite(name, rows, **state)
 
 
 def tables(wh: Warehouse) -> dict[str, DataFrame]:
