@@ -305,7 +305,7 @@ class Warehouse:
         dates of those publishes."""
         layer, _ = table.split(".", 1)
         record = self.record(table) or {}
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{self.root}/{layer}'")
         known, props = self.spark.catalog.tableExists(table), {}
         if known:
             props = {r.key: r.value for r in self.spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
@@ -322,7 +322,7 @@ class Warehouse:
             return
         now, seen = record.get("publish", -1), None
         if known:
-            seen = int(props["shelfwise.publish"])
+            seen = int(props["shelfwise.publish"]) if "shelfwise.publish" in props else None
         else:
             self.spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{self.path(table)}'")
         if seen is not None and seen == now - 1:
