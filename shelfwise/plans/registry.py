@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.functions.dates import ntz_lit
 
@@ -20,10 +21,10 @@ from shelfwise.operators import quality
 from shelfwise.plans import insights as ins
 from shelfwise.plans import models as m
 from shelfwise.plans import pipeline
-from shelfwise.schemas import FLAT_COLUMNS
+from shelfwise.schemas import FLAT_COLUMNS, RAW_SCHEMA
 from shelfwise.session import apply_runtime_conf, scratch_dir
 from shelfwise.sources import files, landing
-from shelfwise.sources.testdata import raw_products, read_table
+from shelfwise.sources.testdata import faulty_envelopes, odd_numbers, raw_products, read_table
 from shelfwise.sources.warehouse import Warehouse
 from shelfwise.streaming import microbatch
 
@@ -215,6 +216,69 @@ def q_flatten_rejects(spark, sf_dir):
     return _flattened(spark, sf_dir)[1].select("sku", "reject_reason")
 
 
+@register("flatten_document")
+def q_flatten_document(spark, sf_dir):
+    """The same envelopes in array documents, one for each SKU, read in parts."""
+    apply_runtime_conf(spark)
+    raw, path = raw_products(spark, sf_dir), scratch_dir(spark, "documents")
+    one = landing.to_envelopes(raw).withColumn("sku", F.get_json_object("value", "$.data[0].sku"))
+    arrays = one.groupBy("sku").agg(F.array_join(F.collect_list("value"), ",\n").alias("values"))
+    arrays.select(F.concat(F.lit("["), "values", F.lit("]"))).write.text(path)
+    return landing.flatten_text(landing.read_landing(spark, path, layout="parts"))[0]
+
+
+def _faulty(spark, sf_dir) -> landing.FlattenResult:
+    apply_runtime_conf(spark)
+    path = scratch_dir(spark, "landing")
+    faulty_envelopes(raw_products(spark, sf_dir)).write.text(path)
+    return landing.flatten(landing.envelopes(landing.read_landing(spark, path)))
+
+
+FAULT_COLUMNS = ["sku", "category", "brand", "msrp", "sale", "discount", "currency", "stock_quantity", "stock_status", "stock_region",
+                 "stock_reorder_point", "stock_last_restocked", "supplier_name", "supplier_lead_time_days", "reviews_rating",
+                 "reviews_review_count", "reviews_tags", "shipping_free_shipping", "ingestion_time"]
+
+
+@register("flatten_faults")
+def q_flatten_faults(spark, sf_dir):
+    """Every kind of reject and default: rows and rejects of faulty envelopes."""
+    res = _faulty(spark, sf_dir)
+    rows = landing.stamp_ingestion_time(res.rows).select(*FAULT_COLUMNS)
+    return rows.unionByName(res.rejects.select("sku", "reject_reason"), allowMissingColumns=True)
+
+
+@register("flatten_audit")
+def q_flatten_audit(spark, sf_dir):
+    """Accepted rows that needed a warned default, with the columns that did."""
+    audit = _faulty(spark, sf_dir).audit
+    return audit.select("sku", F.array_join("defaults_applied", ",").alias("defaults_applied"))
+
+
+def _odd_csv(spark, sf_dir) -> str:
+    apply_runtime_conf(spark)
+    path = scratch_dir(spark, "odd-csv")
+    files.write_csv(odd_numbers(raw_products(spark, sf_dir)), path)
+    return path
+
+
+@register("csv_inferred")
+def q_csv_inferred(spark, sf_dir):
+    """An autodetected load of text numbers into a typed table: review counts
+    widen, prices that are no number reject their rows."""
+    path = _odd_csv(spark, sf_dir)
+    table = T.StructType([f for f in RAW_SCHEMA if f.name in ("sku", "msrp", "stock_quantity", "reviews_review_count", "ingestion_time")])
+    load = files.load_inferred(spark, path, table)
+    return load.rows.unionByName(load.rejects.select("sku", "reject_reason"), allowMissingColumns=True)
+
+
+@register("coerced_numbers")
+def q_coerced_numbers(spark, sf_dir):
+    """The dashboard's cleaning of an autodetected load: text that is no number becomes NULL."""
+    loaded = files.read_csv(spark, _odd_csv(spark, sf_dir), infer=True)
+    numbers = ins.coerce_numeric(loaded, ["msrp", "stock_quantity", "reviews_review_count"])
+    return numbers.select("sku", F.col("ingestion_time").cast("timestamp_ntz"), "msrp", "stock_quantity", "reviews_review_count")
+
+
 @register("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
     """Flattened rows -> header CSV -> typed CSV source."""
@@ -282,6 +346,7 @@ def q_run_id_paths(spark, sf_dir):
 
 # -- step 6: incremental and streaming ---------------------------------------------------
 
+CATALOG_TABLES = (pipeline.FCT, pipeline.DIM_P)
 _INCREMENTAL_RUNS: dict[tuple, Warehouse] = {}
 
 
@@ -294,6 +359,8 @@ def incremental_run(spark, sf_dir) -> Warehouse:
         wh = Warehouse(spark, scratch_dir(spark, "warehouse"))
         for i, load in enumerate(_arrival_loads(spark, sf_dir)):
             pipeline.run_batch(spark, wh, load, load_id=f"load-{i + 1}")
+            for name in CATALOG_TABLES:
+                wh.register(name)
         _INCREMENTAL_RUNS[key] = wh
     return _INCREMENTAL_RUNS[key]
 
@@ -303,6 +370,16 @@ def q_incremental_stg(spark, sf_dir):
     return pipeline.table(incremental_run(spark, sf_dir), pipeline.STG)
 
 
+@register("catalog_star")
+def q_catalog_star(spark, sf_dir):
+    """Fact and products by their names in the catalog, which was brought in step after each load."""
+    wh = incremental_run(spark, sf_dir)
+    for name in CATALOG_TABLES:
+        wh.register(name)                      # another warehouse may have used the names since
+    return spark.sql(f"SELECT f.product_id, f.ingestion_time, f.stock_quantity, d.product_name FROM {pipeline.FCT} f "
+                     f"LEFT JOIN {pipeline.DIM_P} d ON f.product_id = d.product_id AND d.is_current")
+
+
 @register("incremental_int")
 def q_incremental_int(spark, sf_dir):
     return pipeline.table(incremental_run(spark, sf_dir), pipeline.INT)
@@ -336,7 +413,10 @@ def same_instant_run(spark, sf_dir) -> Warehouse:
     """Two loads of monthly snapshots that share the watermark instant: of its
     rows the first load brings those of even quantity, the second the others,
     some for keys that the first has (matched by the inclusive merge, which
-    rewrites the day) and some for new keys."""
+    rewrites the day) and some for new keys. Built once per session and source directory."""
+    key = (spark.sparkContext.applicationId, sf_dir, "same instant")
+    if key in _INCREMENTAL_RUNS:
+        return _INCREMENTAL_RUNS[key]
     apply_runtime_conf(spark)
     raw = raw_products(spark, sf_dir)
     raw = raw.withColumn("ingestion_time", F.date_trunc("month", "ingestion_time").cast("timestamp_ntz"))
@@ -345,6 +425,7 @@ def same_instant_run(spark, sf_dir) -> Warehouse:
     wh = Warehouse(spark, scratch_dir(spark, "warehouse"))
     pipeline.run_batch(spark, wh, raw.filter(first), load_id="first")
     pipeline.run_batch(spark, wh, raw.filter(~first), load_id="second")
+    _INCREMENTAL_RUNS[key] = wh
     return wh
 
 
@@ -358,6 +439,8 @@ def _same_instant_query(name: str, layer: str):
 _same_instant_query("incremental_same_instant_stg", pipeline.STG)
 _same_instant_query("incremental_same_instant_int", pipeline.INT)
 _same_instant_query("incremental_same_instant_fct", pipeline.FCT)
+_same_instant_query("dims_same_instant", pipeline.DIM_P)
+_same_instant_query("dims_same_instant_suppliers", pipeline.DIM_S)
 
 
 @register("late_rows")
@@ -392,6 +475,19 @@ def q_stream_microbatch(spark, sf_dir):
     return pipeline.table(wh, pipeline.FCT)
 
 
+@register("stream_counters")
+def q_stream_counters(spark, sf_dir):
+    """Counts that a stream of faulty envelopes keeps for each batch, two runs from one checkpoint."""
+    apply_runtime_conf(spark)
+    raw, cut = raw_products(spark, sf_dir), ntz_lit(STREAM_CUT)
+    land, ckpt = scratch_dir(spark, "stream-landing"), scratch_dir(spark, "stream-checkpoint")
+    wh = Warehouse(spark, scratch_dir(spark, "stream-warehouse"))
+    for phase in (raw.filter(F.col("ingestion_time") < cut), raw.filter(F.col("ingestion_time") >= cut)):
+        faulty_envelopes(phase).write.mode("append").text(land)
+        microbatch.drain(spark, land, wh, ckpt)
+    return microbatch.load_counts(spark, wh).select(F.col("batch_id").cast("int"), "accepted", "skipped", "defaulted")
+
+
 # Fixed value: the supplier chosen in the dashboard's filter control for the
 # filtered-view query ("All" would mean no filter).
 FILTER_SUPPLIER = "Supplier#000000001"

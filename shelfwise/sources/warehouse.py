@@ -71,7 +71,7 @@ class Warehouse:
         # listing a date-partitioned table walks every partition directory.
         self._reads: dict[str, DataFrame] = {}
         self.folders_listed = 0                # date folders that ``read_since`` opened
-        jvm = spark.sparkContext._jvm
+        self._jvm = jvm = spark.sparkContext._jvm
         self._path_class, self._text_of = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.commons.io.IOUtils.toString
         self._fs = self._path_class(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -85,24 +85,38 @@ class Warehouse:
         return self._path_class(path), self._fs
 
     def _children(self, path: str) -> list[str]:
-        """Names in a folder as its store lists them; none if it isn't there."""
+        """Names in a folder as its store lists them, in one answer; none if it isn't there."""
         at, fs = self._at(path)
-        return [f.getPath().getName() for f in fs.listStatus(at)] if fs.exists(at) else []
+        if not fs.exists(at):
+            return []
+        paths = self._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(fs.listStatus(at))
+        text = self._jvm.scala.collection.mutable.ArraySeq.make(paths).mkString("\n")
+        return [p.rsplit("/", 1)[1] for p in text.split("\n")] if text else []
 
     def _delete(self, path: str) -> None:
         at, fs = self._at(path)
         fs.delete(at, True)
 
     def _move(self, source: str, target: str) -> None:
-        """A folder to a place of its own; done again after a stop, it ends the same."""
-        a, fs = self._at(source)
-        b, _ = self._at(target)
-        if fs.exists(a):
-            fs.delete(b, True)                 # what a stopped try left there
-            fs.mkdirs(b.getParent())
-            if not fs.rename(a, b):
+        """A folder to a place of its own, whose parent is there."""
+        a, b = self._path_class(source), self._path_class(target)
+        if not self._fs.rename(a, b):
+            self._fs.delete(b, True)           # what a store without atomic moves left of a stopped one
+            if not self._fs.rename(a, b):
                 raise OSError(f"{source} could not be moved to {target}")
 
+    def _move_dates(self, staged: str, base: str, own: str) -> None:
+        """Staged date folders into the table, in ascending order, one move each:
+        a new date as a whole, else its folder ``own``. Done again after a stop, it ends the same."""
+        there = set(self._children(base))
+        self._fs.mkdirs(self._path_class(base))
+        for folder in sorted(n for n in self._children(staged) if n.startswith(f"{PARTITION_COLUMN}=")):
+            if folder not in there:
+                self._move(f"{staged}/{folder}", f"{base}/{folder}")
+            elif self._fs.exists(self._path_class(f"{staged}/{folder}/{own}")):
+                self._delete(f"{base}/{folder}/{own}")                     # of an earlier try
+                self._move(f"{staged}/{folder}/{own}", f"{base}/{folder}/{own}")
+
     def _record(self, base: str) -> dict | None:
         """The newer whole one of a record's two files."""
         found = []
@@ -200,12 +214,16 @@ class Warehouse:
 
     # -- writes of snapshot tables -----------------------------------------------
 
-    def stage(self, table: str, df: DataFrame) -> Staged:
-        """Writes rows beside the table, once, by date; counts them on the way."""
+    def stage(self, table: str, df: DataFrame, load_id: str | int | None = None) -> Staged:
+        """Writes rows beside the table, once, in the folders that they will have there; counts them on the way."""
+        if load_id is None:
+            own = {PUBLISH_COLUMN: F.lit((self.record(table) or {"publish": -1})["publish"] + 1)}
+        else:
+            own = {LOAD_COLUMN: F.lit(str(load_id))}
         path = f"{self.root}/_staged/{table}/{uuid.uuid4().hex}"
         seen = Observation(f"stage-{uuid.uuid4().hex}")
         df = with_partition(df).observe(seen, F.count(F.lit(1)).alias("rows"), F.max("ingestion_time").alias("newest"))
-        clustered(df).write.partitionBy(PARTITION_COLUMN).parquet(path)
+        clustered(df).withColumns(own).write.partitionBy(PARTITION_COLUMN, *own).parquet(path)
         return Staged(path, seen.get["rows"], seen.get["newest"], self._staged_dates(path))
 
     def _staged_dates(self, path: str) -> list[str]:
@@ -214,10 +232,12 @@ class Warehouse:
 
     def restage(self, staged: Staged, date: str, df: DataFrame) -> Staged:
         """The staged rows of one date replaced by others of that date (which may be read from them)."""
-        other = f"{staged.path}-{date}"
-        clustered(df).write.mode("overwrite").partitionBy(PARTITION_COLUMN).parquet(other)
-        self._delete(f"{staged.path}/{PARTITION_COLUMN}={date}")
-        self._move(f"{other}/{PARTITION_COLUMN}={date}", f"{staged.path}/{PARTITION_COLUMN}={date}")
+        other, place = f"{staged.path}-{date}", f"{PARTITION_COLUMN}={date}"
+        (own,) = self._children(f"{staged.path}/{place}")
+        clustered(df).withColumn(PUBLISH_COLUMN, F.lit(own.split("=")[1])).write.partitionBy(PARTITION_COLUMN, PUBLISH_COLUMN).parquet(other)
+        self._delete(f"{staged.path}/{place}")
+        if self._children(f"{other}/{place}"):
+            self._move(f"{other}/{place}", f"{staged.path}/{place}")
         self._delete(other)
         return Staged(staged.path, staged.rows, staged.newest, self._staged_dates(staged.path))
 
@@ -243,9 +263,7 @@ class Warehouse:
             return None
         base, n = self.path(table), record["publish"]
         if record["state"] == "pending":
-            for date in record["dates"]:
-                folder = f"{PARTITION_COLUMN}={date}"
-                self._move(f"{record['staged']}/{folder}", f"{base}/{folder}/{PUBLISH_COLUMN}={n}")
+            self._move_dates(record["staged"], base, f"{PUBLISH_COLUMN}={n}")
             record = self._write_record(f"{base}/_commit", record | {"state": "done"})
             self._written(table)
         if record["replaces"]:
@@ -266,15 +284,13 @@ class Warehouse:
         dates, so a retried load (same id) replaces itself, dates that it no
         longer has included, instead of appending twice."""
         base, name = self.path(table), f"{LOAD_COLUMN}={load_id}"
-        staged = self.stage(table, df)
+        staged = self.stage(table, df, load_id)
         entry = f"{base}/_loads/{load_id}"
         old = set((self._record(entry) or {}).get("dates", []))
         at, fs = self._at(f"{base}/_open/{load_id}")
         fs.create(at, True).close()
         self._write_record(entry, {"dates": sorted(old | set(staged.dates))})
-        for date in staged.dates:
-            folder = f"{PARTITION_COLUMN}={date}"
-            self._move(f"{staged.path}/{folder}", f"{base}/{folder}/{name}")
+        self._move_dates(staged.path, base, name)
         for date in sorted(old - set(staged.dates)):
             self._delete(f"{base}/{PARTITION_COLUMN}={date}/{name}")
             if not self._children(f"{base}/{PARTITION_COLUMN}={date}"):
