@@ -9,7 +9,8 @@ after each word. A span is the shortest run of consecutive sentences that
 has at least ``SPAN`` sentences and ``LEAST_WORDS`` words; one begins at every
 sentence. A short span is the shortest run of at least ``SPAN`` sentences, as
 they are before long ones are cut, and ``SHORT_WORDS`` words. Each is hashed
-(case and white space aside) and joined over all documents. The first
+(case and white space aside) to 64 bits and joined over all documents; among 10^13
+spans one in two million meets another's hash by chance. The first
 occurrence, by id and place, stays; every sentence that any other occurrence
 covers is removed.
 
@@ -28,7 +29,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -51,11 +51,6 @@ WORD = re.compile(r"\S+\s*")
 ROWS_AT_ONCE = 100_000
 
 
-@lru_cache(1 << 14)
-def word_hash(word: str) -> int:
-    return xxhash.xxh32_intdigest(word.strip().lower().encode("utf-8", "surrogatepass"))
-
-
 def cut_words(words: list[tuple[int, int]], level: int = 0) -> list[int]:
     """Where parts end, given the end and hash of each word of a long sentence."""
     if len(words) <= LONG or level == len(CUTS):
@@ -69,123 +64,172 @@ def cut_words(words: list[tuple[int, int]], level: int = 0) -> list[int]:
     return out + (cut_words(part, level + 1) if part else [])
 
 
-def plain_sentences(text: str) -> list[tuple[int, int, int]]:
-    """Start, end and number of words of each sentence before long ones are cut."""
-    cuts = [0, *(m.end() for m in END.finditer(text)), len(text)]
-    return [p for p in ((a, b, len(text[a:b].split())) for a, b in zip(cuts, cuts[1:])) if p[2]]
+def plain_parts(text: str) -> list[tuple[int, int, int, str]]:
+    """Start, end, number of words and the words of each sentence before long ones are cut."""
+    cuts, out = [0, *(m.end() for m in END.finditer(text)), len(text)], []
+    for a, b in zip(cuts, cuts[1:]):
+        own = text[a:b].lower().split()
+        if own:
+            out.append((a, b, len(own), " ".join(own)))
+    return out
 
 
-def sentences(text: str, plain: list[tuple[int, int, int]] | None = None) -> list[tuple[int, int]]:
-    """Start and end of each sentence, the white space after it included."""
+def cut_parts(text: str, plain: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
+    """The same of each sentence after long ones are cut."""
+    if not any(p[2] > LONG for p in plain) and sum(p[2] == 1 for p in plain) <= LONG:
+        return plain
     out = []
-    for single, group in groupby(plain_sentences(text) if plain is None else plain, lambda p: p[2] == 1):
+    for single, group in groupby(plain, lambda p: p[2] == 1):
         rows = list(group)
         if single and len(rows) > LONG:
-            rows = [(rows[0][0], rows[-1][1], len(rows))]
-        for a, b, n in rows:
-            if n > LONG:
-                ends = cut_words([(m.end(), word_hash(m[0])) for m in WORD.finditer(text, a, b)])
-                out += zip([a, *ends], ends)
-            else:
-                out.append((a, b))
-    return out
-
-
-def runs(sizes: list[int], span: int = SPAN, least: int = LEAST_WORDS) -> list[tuple[int, int]]:
-    """First sentence and end of each span, given the sentences' numbers of words."""
-    out, end, words = [], 0, 0
-    for i, size in enumerate(sizes):
-        while end < len(sizes) and (end - i < span or words < least):
-            words += sizes[end]
-            end += 1
-        if end - i < span or words < least:
-            break
-        out.append((i, end))
-        words -= size
+            rows = [(rows[0][0], rows[-1][1], len(rows), "")]
+        for row in rows:
+            if row[2] <= LONG:
+                out.append(row)
+                continue
+            words = [(m.end(), m[0].strip().lower()) for m in WORD.finditer(text, *row[:2])]
+            ends = cut_words([(e, xxhash.xxh32_intdigest(w.encode("utf-8", "surrogatepass"))) for e, w in words])
+            a, k = row[0], 0
+            for end in ends:
+                own = []
+                while k < len(words) and words[k][0] <= end:
+                    own.append(words[k][1])
+                    k += 1
+                out.append((a, end, len(own), " ".join(own)))
+                a = end
     return out
 
 
-def halves(joined: list[bytes]) -> tuple[int, int]:
-    h = xxhash.xxh3_128_intdigest(b"\n".join(joined))
-    return h >> 64, h & 0xFFFFFFFFFFFFFFFF
-
-
-def words_joined(text: str, a: int, b: int) -> bytes:
-    return " ".join(text[a:b].lower().split()).encode("utf-8", "surrogatepass")
-
-
-def span_hashes(text: str, span: int = SPAN) -> list[tuple[int, int, int]]:
-    """(first sentence, two halves of a 128-bit hash) of each span."""
-    joined = [words_joined(text, a, b) for a, b in sentences(text)]
-    return [(i, *halves(joined[i:end])) for i, end in runs([j.count(b" ") + 1 for j in joined], span)]
+def plain_sentences(text: str) -> list[tuple[int, int, int]]:
+    """Start, end and number of words of each sentence before long ones are cut."""
+    return [p[:3] for p in plain_parts(text)]
 
 
-def short_runs(plain: list[tuple[int, int, int]], parts: list[tuple[int, int]], long: list[tuple[int, int]], span: int = SPAN) -> list[tuple[int, int]]:
-    """First sentence and end of each short span that spans inside it don't
-    cover. Sentences of several words are cut alike everywhere, so whether
-    they're covered follows from the short span alone."""
-    last = {parts[end - 1][1]: parts[i][0] for i, end in long}
-    return [(i, end) for i, end in runs([n for *_, n in plain], span, SHORT_WORDS)
-            if last.get(plain[end - 1][1], -1) < plain[i][0] or any(n == 1 for *_, n in plain[i:end])]
+def sentences(text: str) -> list[tuple[int, int]]:
+    """Start and end of each sentence, the white space after it included."""
+    return [p[:2] for p in cut_parts(text, plain_parts(text))]
 
 
-def pieces(plain: list[tuple[int, int, int]], parts: list[tuple[int, int]]) -> list[int]:
-    """Where sentences begin, before and after cutting, and the end of the last."""
-    return sorted({a for a, *_ in plain} | {a for a, _ in parts} | {b for _, b in parts[-1:]})
+def run_bounds(sizes: np.ndarray, span: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """First sentence and end of each shortest run of ``span`` sentences and ``least`` words, given the sentences' numbers of words."""
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    first = np.arange(len(sizes))
+    end = np.maximum(first + span, np.searchsorted(total, total[:-1] + least))
+    keep = end <= len(sizes)
+    return first[keep], end[keep]
 
 
-def all_hashes(text: str, span: int = SPAN) -> list[tuple[int, int, int]]:
-    """(place, two halves of a 128-bit hash) of each span and short span. The
-    place is twice the number of its first piece, and one more for a short span."""
-    plain = plain_sentences(text)
-    parts = sentences(text, plain)
-    at = {a: 2 * k for k, a in enumerate(pieces(plain, parts))}
-    joined = {p: words_joined(text, *p) for p in parts}
-    own = [joined[p] for p in parts]
-    long = runs([j.count(b" ") + 1 for j in own], span)
-    short = short_runs(plain, parts, long, span)
-    whole = {j: joined.get((a, b)) or words_joined(text, a, b) for j in {j for i, end in short for j in range(i, end)} for a, b, _ in plain[j:j + 1]}
-    return ([(at[parts[i][0]], *halves(own[i:end])) for i, end in long]
-            + [(at[plain[i][0]] + 1, *halves([whole[j] for j in range(i, end)])) for i, end in short])
+def runs(sizes: list[int], span: int = SPAN, least: int = LEAST_WORDS) -> list[tuple[int, int]]:
+    return list(zip(*(x.tolist() for x in run_bounds(np.array(sizes, np.int64), span, least))))
+
+
+class Spans:
+    """The spans and short spans of a text, by the places where its sentences begin.
+
+    ``cuts``: where sentences begin, before and after cutting, and the end of
+    the last. Span k begins at cut ``place[k] // 2`` and ends at cut ``end[k]``; the
+    place is odd for a short span. Short spans that spans inside them cover are
+    left out: sentences of several words are cut alike everywhere, so whether
+    they're covered follows from the short span alone.
+    """
+
+    def __init__(self, text: str, span: int = SPAN):
+        self.plain = plain_parts(text)
+        self.parts = cut_parts(text, self.plain)
+        column = lambda rows, k: np.array([r[k] for r in rows], np.int64)
+        a, b, n = (column(self.parts, k) for k in range(3))
+        pa, pb, pn = (a, b, n) if self.parts is self.plain else (column(self.plain, k) for k in range(3))
+        self.long, self.short = run_bounds(n, span, LEAST_WORDS), run_bounds(pn, span, SHORT_WORDS)
+        i, j = self.short
+        if len(i) and len(self.long[0]):
+            ends, begins = b[self.long[1] - 1], a[self.long[0]]
+            at = np.searchsorted(ends, pb[j - 1], "right") - 1             # the last span that ends with it
+            inside = (at >= 0) & (ends[at] == pb[j - 1]) & (begins[at] >= pa[i])
+            ones = np.concatenate([[0], np.cumsum(pn == 1)])
+            keep = ~inside | (ones[j] > ones[i])
+            self.short = i, j = i[keep], j[keep]
+        self.cuts = np.unique(np.concatenate([pa, a, b[-1:]]))
+        where = lambda x: np.searchsorted(self.cuts, x)
+        self.place = np.concatenate([2 * where(a[self.long[0]]), 2 * where(pa[i]) + 1])
+        self.end = np.concatenate([where(b[self.long[1] - 1]), where(pb[j - 1])])
+
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash of each span, made of one hash for each of its sentences."""
+        known: dict[str, int] = {}
+        own = [self.of(rows, *bounds, known) for rows, bounds in ((self.parts, self.long), (self.plain, self.short))]
+        return np.concatenate(own)
+
+    @staticmethod
+    def of(rows: list[tuple], first: np.ndarray, end: np.ndarray, known: dict[str, int]) -> np.ndarray:
+        if not len(first):
+            return np.zeros(0, np.uint64)
+        for r in rows:
+            if r[3] not in known:
+                known[r[3]] = xxhash.xxh3_64_intdigest(r[3].encode("utf-8", "surrogatepass"))
+        h = np.array([known[r[3]] for r in rows], np.uint64)
+        out = np.zeros(len(first), np.uint64)
+        size = end - first
+        for k in range(int(size.max())):                   # at most LEAST_WORDS sentences
+            on = size > k
+            mixed = (out[on] ^ h[first[on] + k]) * np.uint64(0x9E3779B97F4A7C15)
+            out[on] = mixed ^ (mixed >> np.uint64(29))
+        return out
+
+
+def span_hashes(text: str, span: int = SPAN) -> list[tuple[int, int]]:
+    """(first sentence, hash) of each span."""
+    own = Spans(text, span)
+    return list(zip(own.long[0].tolist(), own.hashes().tolist()))
 
 
 def spans(keyed: DataFrame, span: int = SPAN) -> DataFrame:
-    """Rows (doc_id, th, idx, h1, h2) of all spans of rows (doc_id, th, text)."""
+    """Rows (row, place, h) of all spans of rows (row, doc_id, th, text), and for
+    each text that has any one row of place -1 with its doc_id and th."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            at, rows = [], []
-            for i, text in enumerate(batch["text"]):
-                own = all_hashes(text, span) if text else []
-                at += [i] * len(own)
-                rows += own
-                if len(rows) >= ROWS_AT_ONCE or i == len(batch) - 1:
-                    v = np.array(rows, np.uint64).reshape(-1, 3)
-                    own = batch.iloc[at]
-                    yield pd.DataFrame({"doc_id": own["doc_id"].to_numpy(), "th": own["th"].to_numpy(), "idx": v[:, 0].astype(np.int32),
-                                        "h1": v[:, 1].copy().view(np.int64), "h2": v[:, 2].copy().view(np.int64)})
-                    at, rows = [], []
-
-    kind = keyed.schema["doc_id"].dataType.simpleString()
-    return keyed.mapInPandas(run, f"doc_id {kind}, th long, idx int, h1 long, h2 long")
+            held, size = [], 0
+            for k, (row, doc, th, text) in enumerate(zip(batch["row"].tolist(), batch["doc_id"].tolist(), batch["th"].tolist(), batch["text"].tolist()), 1):
+                own = Spans(text, span) if text else None
+                if own is not None and len(own.place):
+                    held.append((row, doc, th, own.place, own.hashes()))
+                    size += len(own.place)
+                if held and (size >= ROWS_AT_ONCE or k == len(batch)):
+                    sizes = [len(x[3]) + 1 for x in held]
+                    ids = [y for x, n in zip(held, sizes) for y in [x[1], *[None] * (n - 1)]]
+                    ths = pd.array([y for x, n in zip(held, sizes) for y in [x[2], *[pd.NA] * (n - 1)]], "Int64")
+                    yield pd.DataFrame({
+                        "row": np.repeat([x[0] for x in held], sizes), "place": np.concatenate([y for x in held for y in ([-1], x[3])]).astype(np.int32),
+                        "h": np.concatenate([y for x in held for y in (np.zeros(1, np.uint64), x[4])]).view(np.int64), "doc_id": ids, "th": ths})
+                    held, size = [], 0
+
+    return keyed.mapInPandas(run, "row long, place int, h long, doc_id string, th long")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
     """(doc_id, th, starts, first_docs): for each document with spans that came
-    before, where they start and the ids of the documents that keep them."""
-    # the id goes as text, so that an integer column with nulls passes pandas whole
-    keyed = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
-    every = cut_lineage(spans(keyed, span), "span-all")     # read twice below, so that texts are hashed once
-    twice = cut_lineage(every.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"), "span-hashes")
-    shared = every.join(twice, "h1")
+    before, where they start and the ids of the documents that keep them.
+
+    What is moved for every span is its hash, its place and its row's number;
+    ids join only what is met twice.
+    """
     kind = docs.schema[id_col].dataType
-    shared = cut_lineage(shared.withColumn("doc_id", F.col("doc_id").cast(kind)), "span-shared")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "idx")
-    first = cut_lineage(shared.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-                        .where("n > 1").select("h1", "h2", "first"), "span-first")
-    later = shared.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first")))
+    # the id goes as text, so that an integer column with nulls passes pandas whole
+    keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("string").alias("doc_id"),
+                        F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
+    every = cut_lineage(spans(keyed, span), "span-all")     # numbers, ids and spans from one pass
+    names = every.where("place < 0").select("row", F.col("doc_id").cast(kind).alias("doc_id"), "th")
+    every = every.where("place >= 0").select("h", "row", "place")
+    twice = cut_lineage(every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "span-hashes")
+    # merged, so that what is moved grows in proportion
+    shared = cut_lineage(every.join(twice.hint("merge"), "h").join(names.hint("merge"), "row")
+                         .select("h", "doc_id", "th", "place"), "span-shared")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "place")
+    first = shared.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = cut_lineage(first.where(~F.col("first").eqNullSafe(F.col("last"))).select("h", "first"), "span-first")
+    later = shared.join(first, "h").where(~place.eqNullSafe(F.col("first")))
     return cut_lineage(later.groupBy("doc_id", "th").agg(
-        F.sort_array(F.collect_set("idx")).alias("starts"),
+        F.sort_array(F.collect_set("place")).alias("starts"),
         F.sort_array(F.collect_set("first.doc_id")).alias("first_docs")), "span-later")
 
 
@@ -199,13 +243,8 @@ def without(text, starts, span: int):
             if t is None or own is None:
                 out.append((t, 0))
                 continue
-            plain = plain_sentences(t)
-            parts = sentences(t, plain)
-            cuts = pieces(plain, parts)
-            at = {a: k for k, a in enumerate(cuts)}
-            long = runs([len(t[a:b].split()) for a, b in parts], span)
-            end = {2 * at[parts[i][0]]: at[parts[j - 1][1]] for i, j in long}
-            end |= {2 * at[plain[i][0]] + 1: at[plain[j - 1][1]] for i, j in short_runs(plain, parts, long, span)}
+            found = Spans(t, span)
+            end, cuts = dict(zip(found.place.tolist(), found.end.tolist())), found.cuts.tolist()
             gone = {j for i in own for j in range(i // 2, end[i])}
             kept = [t[a:b] for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if i not in gone]
             out.append(("".join(kept).rstrip() if kept else "", len(gone)))
