@@ -10,10 +10,11 @@ neutral mention of one group should score like that of another, and like none.
 What such a change touches enters the regression too, with all labelled texts
 that have it.
 
-Fitting takes about ``TRAIN_ROWS`` labelled rows, chosen by a hash of the id;
-scoring covers every whole text. A null or empty text gets the score of a text
+Fitting takes at most ``TRAIN_ROWS`` distinct labelled ids, chosen by a hash of the id, each
+with one text; scoring covers every whole text, however long, and each of repeated rows. A null or empty text gets the score of a text
 without features. Labels other than 0 and 1 and null labels or ids are not
-learned from; of several labels for an id each counts. Without any label to
+learned from; of several labels for an id each counts, of several texts the one of
+the smallest hash. Columns other than the id and the text are not read. Without any label to
 learn from, every score is next to 0 and nothing is rejected.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from shelfwise.llm.common import crc_remainder
-from shelfwise.llm.learning import bounded_sample
+from shelfwise.llm.learning import labelled_texts
 from shelfwise.session import cut_lineage
 
 TRAIN_ROWS = 8_000
@@ -161,11 +162,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     few that stand out or belong to an identity term, and which of them each
     training text has.
     """
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
-    known = known.where(F.col("label").isin(0, 1) & (crc_remainder("id", 5) > 0))
-    chosen = bounded_sample(known, train_rows, "id")
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = cut_lineage(texts.join(F.broadcast(chosen), "id").select("id", "label", "text"), "toxicity-sample")
+    sample = cut_lineage(labelled_texts(docs, labels, train_rows, id_col, text_col, label_col, crc_remainder("id", 5) > 0), "toxicity-sample")
     n, ones = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     rate = (ones + 0.5) / (n + 1)
 
