@@ -474,41 +474,44 @@ class Lexicon:
     """What tasks need to encode: the vocabulary's tables, the ids of the
     compiled units, and the name of the automaton's file."""
 
-    def __init__(self, spark: SparkSession, vocabulary: dict, units: list[bytes]):
-        self.vocabulary, codec = vocabulary, Codec(vocabulary)
-        words = sorted({u for u in units if 0 < len(u) <= LONGEST_UNIT and not any(s in u for s in codec.special)
-                        and self.valid(u)})
-        ids = codec.encode_units(words)
-        self.flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
-        self.begin = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
-        table = compile_lexicon(words)
-        path = f"{scratch_dir(spark, 'lexicon')}-{uuid.uuid4().hex[:8]}.bin"
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        stream = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hadoop)
-        stream.write(table.tobytes())
-        stream.close()
-        spark.sparkContext.addFile(path)
-        self.name = path.rsplit("/", 1)[1]
-
-    @staticmethod
-    def valid(unit: bytes) -> bool:
-        try:
-            unit.decode()
-        except UnicodeDecodeError:
-            return False
-        return True
+    def __init__(self, vocabulary: dict, flat: np.ndarray, begin: np.ndarray, name: str):
+        self.vocabulary, self.flat, self.begin, self.name = vocabulary, flat, begin, name
 
     def codec(self) -> Codec:
         table = np.memmap(SparkFiles.get(self.name), np.uint32, "r").reshape(3, -1)
         return Codec(self.vocabulary, (table, self.flat, self.begin))
 
 
+def valid(unit: bytes) -> bool:
+    try:
+        unit.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
+def build_lexicon(spark: SparkSession, vocabulary: dict, units: list[bytes]) -> Lexicon:
+    """Compiles units and gives the automaton to the executors."""
+    codec = Codec(vocabulary)
+    words = sorted({u for u in units if 0 < len(u) <= LONGEST_UNIT and not any(s in u for s in codec.special) and valid(u)})
+    ids = codec.encode_units(words)
+    flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
+    begin = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
+    path = f"{scratch_dir(spark, 'lexicon')}-{uuid.uuid4().hex[:8]}.bin"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(hadoop)
+    stream.write(compile_lexicon(words).tobytes())
+    stream.close()
+    spark.sparkContext.addFile(path)
+    return Lexicon(vocabulary, flat, begin, path.rsplit("/", 1)[1])
+
+
 def learn_lexicon(docs: DataFrame, tokenizer: str, text_col: str = "text", min_share: float = MIN_SHARE) -> Lexicon:
     """Compiles the units that make up ``min_share`` of all units of ``docs`` or more."""
     counts = cut_lineage(unit_counts(docs, text_col), "bpe-units")
     total = counts.agg(F.sum("n")).first()[0] or 0
     rows = counts.where(F.col("n") >= max(1.0, total * min_share)).select("unit").collect() if total else []
-    return Lexicon(docs.sparkSession, load_vocabulary(tokenizer), [bytes(r.unit) for r in rows])
+    return build_lexicon(docs.sparkSession, load_vocabulary(tokenizer), [bytes(r.unit) for r in rows])
 
 
 def ids_column(text: str, lexicon: Lexicon):

@@ -31,7 +31,6 @@ from __future__ import annotations
 
 import unicodedata
 from collections.abc import Iterator
-from functools import cache
 from math import ceil, log
 
 import numpy as np
@@ -65,7 +64,6 @@ NO_SPACES = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2F
              (0xFF66, 0xFF9D), (0x1B000, 0x1B16F), (0x20000, 0x3FFFF))
 
 
-@cache
 def character_table() -> np.ndarray:
     """By code point: 0 for what cuts words, 1 for letters, digits and marks, 2 for a character that is a word."""
     kinds = [unicodedata.category(chr(c)) for c in range(0x110000)]
@@ -85,11 +83,12 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def words_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts in a row, and where each text's begin (one more at the end)."""
+def words_of(texts: list[str | None], table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts in a row, and where each text's begin (one more at the end).
+    ``table``: the character table, where the caller has it."""
     data = [(t or "").lower() + " " for t in texts]
     buf = np.frombuffer("".join(data).encode("utf-32-le", "surrogatepass"), np.uint32)
-    kind = character_table()[buf]
+    kind = (character_table() if table is None else table)[buf]
     good = kind > 0
     before = np.concatenate([[0], kind[:-1]]) if len(kind) else kind
     first = good & ((before == 0) | (kind == 2) | (before == 2))
@@ -205,7 +204,8 @@ class Index:
     """A block of items, ready to be searched in documents."""
 
     def __init__(self, items: list[tuple[int | str, str | None]], reps: int | None = None, short_items: bool = False):
-        hashes, begin = words_of([t for _, t in items])
+        self.table = character_table()
+        hashes, begin = words_of([t for _, t in items], self.table)
         rows = [(hashes[a:b], i) for (i, _), a, b in zip(items, begin, begin[1:])]
         short: dict[int, dict[tuple[int, ...], list[int]]] = {}
         for own, i in rows:
@@ -235,7 +235,7 @@ class Index:
         return sorted((doc, item, place, edits) for (doc, item), (edits, place) in best.items())
 
     def find_in(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int]]:
-        hashes, begin = words_of(texts)
+        hashes, begin = words_of(texts, self.table)
         flat = np.append(hashes, np.uint64(0))
         doc = np.repeat(np.arange(len(texts)), np.diff(begin))
         stop = begin[1:][doc] if len(doc) else np.zeros(0, np.int64)
