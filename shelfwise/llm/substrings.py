@@ -29,7 +29,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import groupby
+from itertools import accumulate, groupby
 
 import numpy as np
 import pandas as pd
@@ -51,17 +51,25 @@ WORD = re.compile(r"\S+\s*")
 ROWS_AT_ONCE = 100_000
 
 
-def cut_words(words: list[tuple[int, int]], level: int = 0) -> list[int]:
-    """Where parts end, given the end and hash of each word of a long sentence."""
-    if len(words) <= LONG or level == len(CUTS):
-        return [words[-1][0]]
-    out, part = [], []
-    for word in words:
-        part.append(word)
-        if (word[1] >> 8 * level) % CUTS[level] == 0:
-            out += cut_words(part, level + 1)
-            part = []
-    return out + (cut_words(part, level + 1) if part else [])
+class WordHashes(dict):
+    """32-bit hashes of words, made when first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > 200_000:
+            self.clear()
+        h = self[word] = xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass"))
+        return h
+
+
+def cut_words(h: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The words after which long sentences are cut, given all their words'
+    hashes and each sentence's last word."""
+    cut = np.zeros(len(h), bool)
+    cut[ends] = True
+    for level, share in enumerate(CUTS):
+        piece = np.cumsum(cut) - cut                       # what a word belongs to so far
+        cut |= (np.bincount(piece)[piece] > LONG) & ((h >> np.uint64(8 * level)) % np.uint64(share) == 0)
+    return np.flatnonzero(cut)
 
 
 def plain_parts(text: str) -> list[tuple[int, int, int, str]]:
@@ -74,29 +82,37 @@ def plain_parts(text: str) -> list[tuple[int, int, int, str]]:
     return out
 
 
-def cut_parts(text: str, plain: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
+def cut_parts(text: str, plain: list[tuple[int, int, int, str]], known: WordHashes) -> list[tuple[int, int, int, str]]:
     """The same of each sentence after long ones are cut."""
     if not any(p[2] > LONG for p in plain) and sum(p[2] == 1 for p in plain) <= LONG:
         return plain
-    out = []
+    rows: list[tuple] = []
     for single, group in groupby(plain, lambda p: p[2] == 1):
-        rows = list(group)
-        if single and len(rows) > LONG:
-            rows = [(rows[0][0], rows[-1][1], len(rows), "")]
-        for row in rows:
-            if row[2] <= LONG:
-                out.append(row)
-                continue
-            words = [(m.end(), m[0].strip().lower()) for m in WORD.finditer(text, *row[:2])]
-            ends = cut_words([(e, xxhash.xxh32_intdigest(w.encode("utf-8", "surrogatepass"))) for e, w in words])
-            a, k = row[0], 0
-            for end in ends:
-                own = []
-                while k < len(words) and words[k][0] <= end:
-                    own.append(words[k][1])
-                    k += 1
-                out.append((a, end, len(own), " ".join(own)))
-                a = end
+        own = list(group)
+        rows += [(own[0][0], own[-1][1], len(own), "")] if single and len(own) > LONG else own
+    words: list[str] = []
+    places: list[int] = []                                 # where each word of a long sentence ends, white space included
+    lasts: list[int] = []
+    for a, b, n, _ in rows:
+        if n > LONG:
+            part = text[a:b]
+            words += part.lower().split()
+            places += list(accumulate(map(len, WORD.findall(part)), initial=a + len(part) - len(part.lstrip())))[1:]
+            lasts.append(len(words) - 1)
+    if not lasts:
+        return rows
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    out, k = [], 0
+    cuts = iter(cut_words(h, np.array(lasts)).tolist())
+    for row in rows:
+        if row[2] <= LONG:
+            out.append(row)
+            continue
+        a, left = row[0], row[2]
+        while left:
+            end = next(cuts) + 1
+            out.append((a, places[end - 1], end - k, " ".join(words[k:end])))
+            a, left, k = places[end - 1], left - (end - k), end
     return out
 
 
@@ -107,7 +123,7 @@ def plain_sentences(text: str) -> list[tuple[int, int, int]]:
 
 def sentences(text: str) -> list[tuple[int, int]]:
     """Start and end of each sentence, the white space after it included."""
-    return [p[:2] for p in cut_parts(text, plain_parts(text))]
+    return [p[:2] for p in cut_parts(text, plain_parts(text), WordHashes())]
 
 
 def run_bounds(sizes: np.ndarray, span: int, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,9 +149,9 @@ class Spans:
     they're covered follows from the short span alone.
     """
 
-    def __init__(self, text: str, span: int = SPAN):
+    def __init__(self, text: str, span: int = SPAN, known: WordHashes | None = None):
         self.plain = plain_parts(text)
-        self.parts = cut_parts(text, self.plain)
+        self.parts = cut_parts(text, self.plain, WordHashes() if known is None else known)
         column = lambda rows, k: np.array([r[k] for r in rows], np.int64)
         a, b, n = (column(self.parts, k) for k in range(3))
         pa, pb, pn = (a, b, n) if self.parts is self.plain else (column(self.plain, k) for k in range(3))
@@ -155,7 +171,7 @@ class Spans:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each span, made of one hash for each of its sentences."""
-        known: dict[str, int] = {}
+        known: dict[str, int] = {}                         # by sentence
         own = [self.of(rows, *bounds, known) for rows, bounds in ((self.parts, self.long), (self.plain, self.short))]
         return np.concatenate(own)
 
@@ -183,58 +199,62 @@ def span_hashes(text: str, span: int = SPAN) -> list[tuple[int, int]]:
 
 
 def spans(keyed: DataFrame, span: int = SPAN) -> DataFrame:
-    """Rows (row, place, h) of all spans of rows (row, doc_id, th, text), and for
-    each text that has any one row of place -1 with its doc_id and th."""
+    """Rows (row, begin, stop, h) of all spans of rows (row, doc_id, th, text), by
+    their first character and the one after their last, and for
+    each text that has any one row of begin -1 with its doc_id and th."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = WordHashes()
         for batch in batches:
             held, size = [], 0
             for k, (row, doc, th, text) in enumerate(zip(batch["row"].tolist(), batch["doc_id"].tolist(), batch["th"].tolist(), batch["text"].tolist()), 1):
-                own = Spans(text, span) if text else None
+                own = Spans(text, span, words) if text else None
                 if own is not None and len(own.place):
-                    held.append((row, doc, th, own.place, own.hashes()))
-                    size += len(own.place)
+                    held.append((row, doc, th, own.cuts[own.place // 2], own.cuts[own.end], own.hashes()))
+                    size += len(held[-1][3])
                 if held and (size >= ROWS_AT_ONCE or k == len(batch)):
                     sizes = [len(x[3]) + 1 for x in held]
                     ids = [y for x, n in zip(held, sizes) for y in [x[1], *[None] * (n - 1)]]
                     ths = pd.array([y for x, n in zip(held, sizes) for y in [x[2], *[pd.NA] * (n - 1)]], "Int64")
                     yield pd.DataFrame({
-                        "row": np.repeat([x[0] for x in held], sizes), "place": np.concatenate([y for x in held for y in ([-1], x[3])]).astype(np.int32),
-                        "h": np.concatenate([y for x in held for y in (np.zeros(1, np.uint64), x[4])]).view(np.int64), "doc_id": ids, "th": ths})
+                        "row": np.repeat([x[0] for x in held], sizes), "begin": np.concatenate([y for x in held for y in ([-1], x[3])]).astype(np.int32),
+                        "stop": np.concatenate([y for x in held for y in ([-1], x[4])]).astype(np.int32),
+                        "h": np.concatenate([y for x in held for y in (np.zeros(1, np.uint64), x[5])]).view(np.int64), "doc_id": ids, "th": ths})
                     held, size = [], 0
 
-    return keyed.mapInPandas(run, "row long, place int, h long, doc_id string, th long")
+    return keyed.mapInPandas(run, "row long, begin int, stop int, h long, doc_id string, th long")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
-    """(doc_id, th, starts, first_docs): for each document with spans that came
-    before, where they start and the ids of the documents that keep them.
+    """(doc_id, th, ranges, first_docs): for each document with spans that came
+    before, where they stand and the ids of the documents that keep them.
 
     What is moved for every span is its hash, its place and its row's number;
-    ids join only what is met twice.
+    ids join only what is met twice. A span and a short span of the same
+    sentences of one text are one occurrence.
     """
     kind = docs.schema[id_col].dataType
     # the id goes as text, so that an integer column with nulls passes pandas whole
     keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("string").alias("doc_id"),
                         F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
     every = cut_lineage(spans(keyed, span), "span-all")     # numbers, ids and spans from one pass
-    names = every.where("place < 0").select("row", F.col("doc_id").cast(kind).alias("doc_id"), "th")
-    every = every.where("place >= 0").select("h", "row", "place")
+    names = every.where("begin < 0").select("row", F.col("doc_id").cast(kind).alias("doc_id"), "th")
+    every = every.where("begin >= 0").select("h", "row", "begin", "stop")
     twice = cut_lineage(every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "span-hashes")
     # merged, so that what is moved grows in proportion
     shared = cut_lineage(every.join(twice.hint("merge"), "h").join(names.hint("merge"), "row")
-                         .select("h", "doc_id", "th", "place"), "span-shared")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "place")
+                         .select("h", "doc_id", "th", "begin", "stop"), "span-shared")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "begin", "stop")
     first = shared.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = cut_lineage(first.where(~F.col("first").eqNullSafe(F.col("last"))).select("h", "first"), "span-first")
     later = shared.join(first, "h").where(~place.eqNullSafe(F.col("first")))
     return cut_lineage(later.groupBy("doc_id", "th").agg(
-        F.sort_array(F.collect_set("place")).alias("starts"),
+        F.sort_array(F.collect_set(F.struct("begin", "stop"))).alias("ranges"),
         F.sort_array(F.collect_set("first.doc_id")).alias("first_docs")), "span-later")
 
 
-def without(text, starts, span: int):
-    """struct(text, n_removed): a text column without the spans that start at the given sentences."""
+def without(text, ranges):
+    """struct(text, n_removed): a text column without ranges of its characters, sorted by their begin, and how many characters went."""
 
     @pandas_udf("text string, n_removed int")
     def run(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
@@ -243,28 +263,30 @@ def without(text, starts, span: int):
             if t is None or own is None:
                 out.append((t, 0))
                 continue
-            found = Spans(t, span)
-            end, cuts = dict(zip(found.place.tolist(), found.end.tolist())), found.cuts.tolist()
-            gone = {j for i in own for j in range(i // 2, end[i])}
-            kept = [t[a:b] for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if i not in gone]
-            out.append(("".join(kept).rstrip() if kept else "", len(gone)))
+            kept, at = [], 0
+            for r in own:
+                if r["begin"] > at:
+                    kept.append(t[at:r["begin"]])
+                at = max(at, r["stop"])
+            left = "".join([*kept, t[at:]]).rstrip()
+            out.append((left, len(t) - len(left)))
         return pd.DataFrame(out, columns=["text", "n_removed"])
 
-    return run(text, starts)
+    return run(text, ranges)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN, only_changed: bool = False,
                    report: bool = False) -> DataFrame:
     """All rows and columns of ``docs`` with repeated sentences gone from the
     text. ``only_changed``: rows in which something was removed. ``report``:
-    with n_removed and first_doc_ids, the documents that keep what was removed."""
+    with n_removed (characters) and first_doc_ids, the documents that keep what was removed."""
     found = repeats(docs, id_col, text_col, span)
-    names = {n: fresh(docs, f"span_{n}") for n in ("doc_id", "th", "starts", "first_docs", "new")}
-    found = found.select(*[F.col(n).alias(names[n]) for n in ("doc_id", "th", "starts", "first_docs")])
+    names = {n: fresh(docs, f"span_{n}") for n in ("doc_id", "th", "ranges", "first_docs", "new")}
+    found = found.select(*[F.col(n).alias(names[n]) for n in ("doc_id", "th", "ranges", "first_docs")])
     same = docs[id_col].eqNullSafe(found[names["doc_id"]]) & (F.xxhash64(docs[text_col]) == found[names["th"]])
     # merged at every size, so that what texts cost to move grows in proportion
     joined = docs.join(found.hint("merge"), same, "inner" if only_changed else "left")
-    joined = joined.withColumn(names["new"], without(F.col(text_col), F.col(names["starts"]), span))
+    joined = joined.withColumn(names["new"], without(F.col(text_col), F.col(names["ranges"])))
     columns = [F.col(f"{names['new']}.text").alias(c) if c == text_col else F.col(c) for c in docs.columns]
     if report:
         columns += [F.col(f"{names['new']}.n_removed").alias("n_removed"), F.col(names["first_docs"]).alias("first_doc_ids")]

@@ -119,3 +119,12 @@ def test_every_repeated_window_of_three_sentences_goes(spark):
     assert len(gone) > 50
     for d, own in gone.items():
         assert sum(map(len, own)) <= len(texts[d]) - len(left[d]) + 2, (texts[d], left[d])
+
+
+def test_a_span_and_its_short_span_are_one_occurrence(spark):
+    rnd = random.Random(14)
+    some = lambda n: " ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(n)) + ". "
+    text = some(11) + some(12) + some(1) + some(12)        # 24 words in three sentences, one of a single word
+    docs = spark.createDataFrame([(1, text), (2, some(9) + text)], "doc_id long, text string")
+    left = {r.doc_id: r.text for r in S.remove_repeats(docs).collect()}
+    assert left[1] == text and len(left[2].split()) == 9
