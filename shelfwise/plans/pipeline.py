@@ -72,11 +72,9 @@ def run_batch(spark: SparkSession, wh: Warehouse, raw_batch: DataFrame, load_id:
     first = not wh.exists(STG)
     wm: dt.datetime = wh.watermark(STG) or DEFAULT_WATERMARK
     seen = Observation(f"load-{uuid.uuid4().hex}")
-    wh.write_load(RAW, raw_batch.observe(seen, F.count(F.lit(1)).alias("rows"),
-                                         F.count_if(F.col("ingestion_time") < ntz_lit(wm)).alias("late"),
-                                         F.count_if(F.col("ingestion_time").isNull()).alias("nulls")), load_id)
-    res.rows = seen.get["rows"]
-    if not first:
+    res.rows = wh.write_load(RAW, raw_batch.observe(seen, F.count_if(F.col("ingestion_time") < ntz_lit(wm)).alias("late"),
+                                                    F.count_if(F.col("ingestion_time").isNull()).alias("nulls")), load_id)
+    if res.rows and not first:
         res.late_rows, res.null_time_rows = seen.get["late"], seen.get["nulls"]
 
     for target, source, model, keys, inclusive in ((STG, RAW, m.stg_products, STG_KEY, True),

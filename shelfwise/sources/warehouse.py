@@ -222,9 +222,11 @@ class Warehouse:
             own = {LOAD_COLUMN: F.lit(str(load_id))}
         path = f"{self.root}/_staged/{table}/{uuid.uuid4().hex}"
         seen = Observation(f"stage-{uuid.uuid4().hex}")
-        df = with_partition(df).observe(seen, F.count(F.lit(1)).alias("rows"), F.max("ingestion_time").alias("newest"))
-        clustered(df).withColumns(own).write.partitionBy(PARTITION_COLUMN, *own).parquet(path)
-        return Staged(path, seen.get["rows"], seen.get["newest"], self._staged_dates(path))
+        df = with_partition(df).withColumns(own).observe(seen, F.count(F.lit(1)).alias("rows"), F.max("ingestion_time").alias("newest"))
+        clustered(df).write.partitionBy(PARTITION_COLUMN, *own).parquet(path)
+        dates = self._staged_dates(path)
+        # of a result that adaptive execution found empty, nothing is observed
+        return Staged(path, seen.get["rows"], seen.get["newest"], dates) if dates else Staged(path, 0, None)
 
     def _staged_dates(self, path: str) -> list[str]:
         prefix = f"{PARTITION_COLUMN}="
@@ -279,10 +281,10 @@ class Warehouse:
 
     # -- the raw layer -------------------------------------------------------------
 
-    def write_load(self, table: str, df: DataFrame, load_id: str | int) -> None:
+    def write_load(self, table: str, df: DataFrame, load_id: str | int) -> int:
         """Raw append keyed by load: each load owns ``load_id=<id>`` below its
         dates, so a retried load (same id) replaces itself, dates that it no
-        longer has included, instead of appending twice."""
+        longer has included, instead of appending twice. Returns its number of rows."""
         base, name = self.path(table), f"{LOAD_COLUMN}={load_id}"
         staged = self.stage(table, df, load_id)
         entry = f"{base}/_loads/{load_id}"
@@ -299,6 +301,7 @@ class Warehouse:
         fs.delete(at, False)
         self.discard(staged)
         self._written(table)
+        return staged.rows
 
     # -- dimensions ------------------------------------------------------------------
 
