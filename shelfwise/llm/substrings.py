@@ -199,9 +199,9 @@ def span_hashes(text: str, span: int = SPAN) -> list[tuple[int, int]]:
 
 
 def spans(keyed: DataFrame, span: int = SPAN) -> DataFrame:
-    """Rows (row, begin, stop, h) of all spans of rows (row, doc_id, th, text), by
-    their first character and the one after their last, and for
-    each text that has any one row of begin -1 with its doc_id and th."""
+    """Rows (row, place, h) of all spans of rows (row, doc_id, th, text), and for
+    each text that has any one row of place -1 with its doc_id and th. A place is
+    a span's first character times 2^32 and the one after its last."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = WordHashes()
@@ -210,19 +210,18 @@ def spans(keyed: DataFrame, span: int = SPAN) -> DataFrame:
             for k, (row, doc, th, text) in enumerate(zip(batch["row"].tolist(), batch["doc_id"].tolist(), batch["th"].tolist(), batch["text"].tolist()), 1):
                 own = Spans(text, span, words) if text else None
                 if own is not None and len(own.place):
-                    held.append((row, doc, th, own.cuts[own.place // 2], own.cuts[own.end], own.hashes()))
+                    held.append((row, doc, th, own.cuts[own.place // 2] << 32 | own.cuts[own.end], own.hashes()))
                     size += len(held[-1][3])
                 if held and (size >= ROWS_AT_ONCE or k == len(batch)):
                     sizes = [len(x[3]) + 1 for x in held]
                     ids = [y for x, n in zip(held, sizes) for y in [x[1], *[None] * (n - 1)]]
                     ths = pd.array([y for x, n in zip(held, sizes) for y in [x[2], *[pd.NA] * (n - 1)]], "Int64")
                     yield pd.DataFrame({
-                        "row": np.repeat([x[0] for x in held], sizes), "begin": np.concatenate([y for x in held for y in ([-1], x[3])]).astype(np.int32),
-                        "stop": np.concatenate([y for x in held for y in ([-1], x[4])]).astype(np.int32),
-                        "h": np.concatenate([y for x in held for y in (np.zeros(1, np.uint64), x[5])]).view(np.int64), "doc_id": ids, "th": ths})
+                        "row": np.repeat([x[0] for x in held], sizes), "place": np.concatenate([y for x in held for y in ([-1], x[3])]),
+                        "h": np.concatenate([y for x in held for y in (np.zeros(1, np.uint64), x[4])]).view(np.int64), "doc_id": ids, "th": ths})
                     held, size = [], 0
 
-    return keyed.mapInPandas(run, "row long, begin int, stop int, h long, doc_id string, th long")
+    return keyed.mapInPandas(run, "row long, place long, h long, doc_id string, th long")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
@@ -238,23 +237,38 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spa
     keyed = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("string").alias("doc_id"),
                         F.xxhash64(F.col(text_col)).alias("th"), F.col(text_col).alias("text"))
     every = cut_lineage(spans(keyed, span), "span-all")     # numbers, ids and spans from one pass
-    names = every.where("begin < 0").select("row", F.col("doc_id").cast(kind).alias("doc_id"), "th")
-    every = every.where("begin >= 0").select("h", "row", "begin", "stop")
+    names = every.where("place < 0").select("row", F.col("doc_id").cast(kind).alias("doc_id"), "th")
+    every = every.where("place >= 0").select("h", "row", "place")
     twice = cut_lineage(every.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "span-hashes")
     # merged, so that what is moved grows in proportion
     shared = cut_lineage(every.join(twice.hint("merge"), "h").join(names.hint("merge"), "row")
-                         .select("h", "doc_id", "th", "begin", "stop"), "span-shared")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "begin", "stop")
+                         .select("h", "doc_id", "th", "place"), "span-shared")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "place")
     first = shared.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = cut_lineage(first.where(~F.col("first").eqNullSafe(F.col("last"))).select("h", "first"), "span-first")
     later = shared.join(first, "h").where(~place.eqNullSafe(F.col("first")))
-    return cut_lineage(later.groupBy("doc_id", "th").agg(
-        F.sort_array(F.collect_set(F.struct("begin", "stop"))).alias("ranges"),
-        F.sort_array(F.collect_set("first.doc_id")).alias("first_docs")), "span-later")
+    later = later.groupBy("doc_id", "th").agg(F.collect_set("place").alias("places"), F.sort_array(F.collect_set("first.doc_id")).alias("first_docs"))
+    return cut_lineage(later.select("doc_id", "th", joined(F.col("places")).alias("ranges"), "first_docs"), "span-later")
+
+
+def joined(places):
+    """The ranges that the places of spans make together, in the same form, sorted."""
+
+    @pandas_udf("array<long>")
+    def run(batch: pd.Series) -> pd.Series:
+        out = []
+        for own in batch:
+            own = np.sort(np.asarray(own, np.int64))
+            begin, stop = own >> 32, np.maximum.accumulate(own & 0xFFFFFFFF)
+            apart = np.concatenate([[True], begin[1:] > stop[:-1]])
+            out.append(begin[apart] << 32 | stop[np.append(np.flatnonzero(apart)[1:] - 1, len(own) - 1)])
+        return pd.Series(out, dtype=object)
+
+    return run(places)
 
 
 def without(text, ranges):
-    """struct(text, n_removed): a text column without ranges of its characters, sorted by their begin, and how many characters went."""
+    """struct(text, n_removed): a text column without ranges of its characters, and how many characters went."""
 
     @pandas_udf("text string, n_removed int")
     def run(texts: pd.Series, places: pd.Series) -> pd.DataFrame:
@@ -264,10 +278,9 @@ def without(text, ranges):
                 out.append((t, 0))
                 continue
             kept, at = [], 0
-            for r in own:
-                if r["begin"] > at:
-                    kept.append(t[at:r["begin"]])
-                at = max(at, r["stop"])
+            for r in own.tolist():
+                kept.append(t[at:r >> 32])
+                at = r & 0xFFFFFFFF
             left = "".join([*kept, t[at:]]).rstrip()
             out.append((left, len(t) - len(left)))
         return pd.DataFrame(out, columns=["text", "n_removed"])
