@@ -51,5 +51,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: No SQL: the classifier and the fingerprints have none. Tests compare stages with brute force.
+#: No SQL: the classifier and the fingerprints have none. Tests check that stages keep columns, take effect and
+#: follow each other; each operator's own tests compare it with brute force.
 ORACLE_SQL = None
