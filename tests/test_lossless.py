@@ -149,3 +149,15 @@ def test_a_cluster_without_a_shared_folder_raises(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="shared folder"):
         scratch_dir(Session())
+
+
+def test_an_autodetected_load_widens_or_rejects(spark, scratch):
+    path = scratch("csv")
+    rows = [("A", "1", "2.5", "3"), ("B", "n/a", "1", "1e3"), ("C", "12", None, "7"), ("D", None, "x", "8")]
+    files.write_csv(spark.createDataFrame(rows, "sku string, stock_quantity string, msrp string, reviews_review_count string"), path)
+    from pyspark.sql.types import StructType
+    table = StructType.fromDDL("sku string, stock_quantity int, msrp double, reviews_review_count int, brand string")
+    load = files.load_inferred(spark, path, table)
+    assert load.widened == ["reviews_review_count"]
+    assert sorted(map(tuple, load.rows.collect())) == [("A", 1, 2.5, 3.0, None), ("C", 12, None, 7.0, None)]
+    assert {r.sku: r.reject_reason for r in load.rejects.collect()} == {"B": "bad_type:stock_quantity", "D": "bad_type:msrp"}

@@ -53,3 +53,23 @@ def test_document_layout(spark, scratch):
         json.dump([envelope("A", "2024-01-01T08:00:00.000Z"), envelope("B", "2024-01-01T09:00:00.000Z")], f, indent=2)
     microbatch.drain(spark, landing_dir, wh, ck, layout="document")
     assert sorted(r.product_id for r in P.table(wh, P.STG).collect()) == ["A", "B"]
+
+
+def test_counts_outlive_the_driver_and_a_timed_trigger_runs(spark, scratch):
+    landing_dir, ck = scratch("landing"), scratch("ckpt")
+    wh = Warehouse(spark, scratch("wh"))
+    land(landing_dir, "a.json", [envelope("A", "2024-01-01T08:00:00.000Z"), envelope("X", "2024-01-01T08:00:00.000Z", status=None)])
+    microbatch.drain(spark, landing_dir, wh, ck)
+    land(landing_dir, "b.json", [envelope("B", "2024-01-02T08:00:00.000Z")])
+    again = Warehouse(spark, wh.root)                 # as after a restart
+    q = microbatch.start(spark, landing_dir, again, ck, cadence="1 second")
+    try:
+        for _ in range(90):
+            if again.exists(P.FCT) and microbatch.load_counts(spark, again).count() == 2 or q.exception() is not None:
+                break
+            q.awaitTermination(1)
+    finally:
+        q.stop()
+    counts = {r.batch_id: (r.accepted, r.skipped, r.defaulted, r.late, r.no_time) for r in microbatch.load_counts(spark, again).collect()}
+    assert counts == {0: (1, 1, 1, 0, 0), 1: (1, 0, 1, 0, 0)}
+    assert sorted(r.product_id for r in P.table(Warehouse(spark, wh.root), P.FCT).collect()) == ["A", "B"]
