@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,17 @@ def crc_remainder(key: str | Column, modulus: int) -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % modulus, F.lit(-1)).cast("int")
 
 
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of an odd number and of its inverse modulo 2^64: with
+    sums of values times powers, a run of values hashes alike wherever it stands."""
+    base = 0x9E3779B97F4A7C15
+    out = [np.full(n + 1, x, np.uint64) for x in (base, pow(base, -1, 1 << 64))]
+    for p in out:
+        p[0] = 1
+        np.multiply.accumulate(p, out=p)
+    return out[0], out[1]
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Components of an undirected graph given as edges (u, v) of comparable keys.
 

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from shelfwise.llm.common import fresh
+from shelfwise.llm.common import fresh, powers
 
 MAX_EDITS = 0.2             # of an item's words
 TARGET_RECALL = 0.95        # for an item at the largest number of edits
@@ -74,15 +74,6 @@ def character_table() -> np.ndarray:
     return out
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    base = 0x9E3779B97F4A7C15
-    out = [np.full(n + 1, x, np.uint64) for x in (base, pow(base, -1, 1 << 64))]
-    for p in out:
-        p[0] = 1
-        np.multiply.accumulate(p, out=p)
-    return out[0], out[1]
-
-
 def words_of(texts: list[str | None], table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts in a row, and where each text's begin (one more at the end).
     ``table``: the character table, where the caller has it."""

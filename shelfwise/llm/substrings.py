@@ -8,8 +8,8 @@ longer is cut by the next of ``CUTS``, in the end (one word over and over, say)
 after each word. A span is the shortest run of consecutive sentences that
 has at least ``SPAN`` sentences and ``LEAST_WORDS`` words; one begins at every
 sentence. A short span is the shortest run of at least ``SPAN`` sentences, as
-they are before long ones are cut, and ``SHORT_WORDS`` words. Each is hashed
-(case and white space aside) to 64 bits and joined over all documents; among 10^13
+they are before long ones are cut, and ``SHORT_WORDS`` words. The words of each are
+hashed (case and white space aside) to 64 bits and joined over all documents; among 10^13
 spans one in two million meets another's hash by chance. The first
 occurrence, by id and place, stays; every sentence that any other occurrence
 covers is removed.
@@ -22,23 +22,23 @@ Shorter passages are found if they are whole sentences, by the short spans.
 Null ids come after all others. Rows of equal id and text are one document
 given repeatedly: they're treated alike and none counts against another. A null
 text stays null, a text with fewer sentences than a span is never touched, and
-a text of which everything is removed becomes empty.
+a text of which everything is removed becomes empty. Texts of any length are
+read whole; other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from itertools import accumulate, groupby
+from functools import cache
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from shelfwise.llm.common import fresh
+from shelfwise.llm.common import fresh, powers
 from shelfwise.session import cut_lineage
 
 SPAN = 3
@@ -46,156 +46,158 @@ LEAST_WORDS = 24
 SHORT_WORDS = 10
 LONG = 12
 CUTS = (8, 3, 1)
-END = re.compile(r"(?<=[.!?])\s+|\n\s*")
-WORD = re.compile(r"\S+\s*")
-ROWS_AT_ONCE = 100_000
+CHARACTERS_AT_ONCE = 1_000_000
 
 
-class WordHashes(dict):
-    """32-bit hashes of words, made when first asked for."""
+def character_tables() -> tuple[np.ndarray, np.ndarray]:
+    """By code point: whether it is white space, and its lower case where that is one character."""
+    space = np.zeros(0x110000, bool)
+    space[[c for c in range(0x3001) if chr(c).isspace()]] = True
+    lower = np.arange(0x110000, dtype=np.uint32)
+    for c in range(0x20000):                               # no letters with two cases beyond
+        low = chr(c).lower()
+        if len(low) == 1:
+            lower[c] = ord(low)
+    return space, lower
 
-    def __missing__(self, word: str) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        h = self[word] = xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass"))
-        return h
 
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
 
-def cut_words(h: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The words after which long sentences are cut, given all their words'
-    hashes and each sentence's last word."""
-    cut = np.zeros(len(h), bool)
-    cut[ends] = True
-    for level, share in enumerate(CUTS):
-        piece = np.cumsum(cut) - cut                       # what a word belongs to so far
-        cut |= (np.bincount(piece)[piece] > LONG) & ((h >> np.uint64(8 * level)) % np.uint64(share) == 0)
-    return np.flatnonzero(cut)
-
-
-def plain_parts(text: str) -> list[tuple[int, int, int, str]]:
-    """Start, end, number of words and the words of each sentence before long ones are cut."""
-    cuts, out = [0, *(m.end() for m in END.finditer(text)), len(text)], []
-    for a, b in zip(cuts, cuts[1:]):
-        own = text[a:b].lower().split()
-        if own:
-            out.append((a, b, len(own), " ".join(own)))
-    return out
-
-
-def cut_parts(text: str, plain: list[tuple[int, int, int, str]], known: WordHashes) -> list[tuple[int, int, int, str]]:
-    """The same of each sentence after long ones are cut."""
-    if not any(p[2] > LONG for p in plain) and sum(p[2] == 1 for p in plain) <= LONG:
-        return plain
-    rows: list[tuple] = []
-    for single, group in groupby(plain, lambda p: p[2] == 1):
-        own = list(group)
-        rows += [(own[0][0], own[-1][1], len(own), "")] if single and len(own) > LONG else own
-    words: list[str] = []
-    places: list[int] = []                                 # where each word of a long sentence ends, white space included
-    lasts: list[int] = []
-    for a, b, n, _ in rows:
-        if n > LONG:
-            part = text[a:b]
-            words += part.lower().split()
-            places += list(accumulate(map(len, WORD.findall(part)), initial=a + len(part) - len(part.lstrip())))[1:]
-            lasts.append(len(words) - 1)
-    if not lasts:
-        return rows
-    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    out, k = [], 0
-    cuts = iter(cut_words(h, np.array(lasts)).tolist())
-    for row in rows:
-        if row[2] <= LONG:
-            out.append(row)
-            continue
-        a, left = row[0], row[2]
-        while left:
-            end = next(cuts) + 1
-            out.append((a, places[end - 1], end - k, " ".join(words[k:end])))
-            a, left, k = places[end - 1], left - (end - k), end
-    return out
 
+def run_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of ``values`` from ``begin`` up to ``end``, alike wherever it stands."""
+    up, down = powers(len(values))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[:len(values)], out=sums[1:])
+    return mixed((sums[end] - sums[begin]) * down[begin])
 
-def plain_sentences(text: str) -> list[tuple[int, int, int]]:
-    """Start, end and number of words of each sentence before long ones are cut."""
-    return [p[:3] for p in plain_parts(text)]
 
+def cut_words(h: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Whether a sentence ends after each word once long ones are cut, given the
+    words' hashes and where sentences end before."""
+    cut = cut.copy()
+    for level, share in enumerate(CUTS):
+        piece = np.cumsum(cut) - cut                       # what a word belongs to so far
+        cut |= (np.bincount(piece)[piece] > LONG) & ((h >> np.uint64(8 * level)) % np.uint64(share) == 0)
+    return cut
 
-def sentences(text: str) -> list[tuple[int, int]]:
-    """Start and end of each sentence, the white space after it included."""
-    return [p[:2] for p in cut_parts(text, plain_parts(text), WordHashes())]
 
+def run_bounds(starts: np.ndarray, last: np.ndarray | int, span: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """First sentence and end of each shortest run of ``span`` sentences and ``least`` words.
 
-def run_bounds(sizes: np.ndarray, span: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """First sentence and end of each shortest run of ``span`` sentences and ``least`` words, given the sentences' numbers of words."""
-    total = np.concatenate([[0], np.cumsum(sizes)])
-    first = np.arange(len(sizes))
-    end = np.maximum(first + span, np.searchsorted(total, total[:-1] + least))
-    keep = end <= len(sizes)
+    ``starts``: each sentence's first word and, in the end, the number of words;
+    ``last``: the end of the sentences that a run beginning at each may take."""
+    first = np.arange(len(starts) - 1)
+    end = np.maximum(first + span, np.searchsorted(starts, starts[:-1] + least))
+    keep = end <= last
     return first[keep], end[keep]
 
 
 def runs(sizes: list[int], span: int = SPAN, least: int = LEAST_WORDS) -> list[tuple[int, int]]:
-    return list(zip(*(x.tolist() for x in run_bounds(np.array(sizes, np.int64), span, least))))
+    """The same of one text, given its sentences' numbers of words."""
+    return list(zip(*(x.tolist() for x in run_bounds(np.cumsum([0, *sizes]), len(sizes), span, least))))
 
 
 class Spans:
-    """The spans and short spans of a text, by the places where its sentences begin.
-
-    ``cuts``: where sentences begin, before and after cutting, and the end of
-    the last. Span k begins at cut ``place[k] // 2`` and ends at cut ``end[k]``; the
-    place is odd for a short span. Short spans that spans inside them cover are
-    left out: sentences of several words are cut alike everywhere, so whether
-    they're covered follows from the short span alone.
+    """The sentences, spans and short spans of texts, whose words are numbered in a row.
+
+    ``plain`` and ``parts``: the first word of each sentence before and after long
+    ones are cut, and the number of words. Span k is of text ``doc[k]``, from its
+    character ``begin[k]`` up to ``end[k]``, with the hash ``h[k]`` of its words. Short
+    spans that spans inside them cover are left out: sentences of several
+    words are cut alike everywhere, so whether they're covered follows from the
+    short span alone.
     """
 
-    def __init__(self, text: str, span: int = SPAN, known: WordHashes | None = None):
-        self.plain = plain_parts(text)
-        self.parts = cut_parts(text, self.plain, WordHashes() if known is None else known)
-        column = lambda rows, k: np.array([r[k] for r in rows], np.int64)
-        a, b, n = (column(self.parts, k) for k in range(3))
-        pa, pb, pn = (a, b, n) if self.parts is self.plain else (column(self.plain, k) for k in range(3))
-        self.long, self.short = run_bounds(n, span, LEAST_WORDS), run_bounds(pn, span, SHORT_WORDS)
-        i, j = self.short
+    def __init__(self, texts: list[str], span: int, tables: tuple[np.ndarray, np.ndarray]):
+        space, lower = tables
+        code = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.size = np.array([len(t) for t in texts], np.int64)
+        base = np.cumsum(self.size + 1) - self.size - 1
+        edge = np.diff(space[code].view(np.int8), prepend=np.int8(1))
+        begin, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        words = run_hashes(lower[code].astype(np.uint64) + np.uint64(1), begin, end)
+        self.until = np.searchsorted(begin, base + self.size)               # the end of each text's words
+        count = np.diff(self.until, prepend=0)
+        doc = np.repeat(np.arange(len(texts)), count)
+        feeds = np.flatnonzero(code == 10)
+        stop = np.isin(code[end - 1], [ord(c) for c in ".!?"])
+        ends = stop | (np.searchsorted(feeds, end) < np.searchsorted(feeds, np.append(begin[1:], len(code)))[:len(end)])
+        self.plain, self.parts = self.starts(ends), self.starts(cut_words(words, self.joined_singles(ends, doc)))
+        self.at = begin - base[doc]
+        some = np.flatnonzero(count)
+        first = (self.until - count)[some]                 # white space before the first word goes with it unless a line ends there
+        self.at[first] *= np.searchsorted(feeds, base[some]) < np.searchsorted(feeds, begin[first])
+        self.word_doc = doc
+        self.long = self.bounds(self.parts, span, LEAST_WORDS)
+        i, j = self.bounds(self.plain, span, SHORT_WORDS)
+        x, y = self.plain[i], self.plain[j]
         if len(i) and len(self.long[0]):
-            ends, begins = b[self.long[1] - 1], a[self.long[0]]
-            at = np.searchsorted(ends, pb[j - 1], "right") - 1             # the last span that ends with it
-            inside = (at >= 0) & (ends[at] == pb[j - 1]) & (begins[at] >= pa[i])
-            ones = np.concatenate([[0], np.cumsum(pn == 1)])
+            last = self.parts[self.long[1]]
+            k = np.searchsorted(last, y, "right") - 1                       # the last span that ends with it
+            inside = (k >= 0) & (last[k] == y) & (self.parts[self.long[0]][k] >= x)
+            ones = np.concatenate([[0], np.cumsum(np.diff(self.plain) == 1)])
             keep = ~inside | (ones[j] > ones[i])
-            self.short = i, j = i[keep], j[keep]
-        self.cuts = np.unique(np.concatenate([pa, a, b[-1:]]))
-        where = lambda x: np.searchsorted(self.cuts, x)
-        self.place = np.concatenate([2 * where(a[self.long[0]]), 2 * where(pa[i]) + 1])
-        self.end = np.concatenate([where(b[self.long[1] - 1]), where(pb[j - 1])])
-
-    def hashes(self) -> np.ndarray:
-        """A 64-bit hash of each span, made of one hash for each of its sentences."""
-        known: dict[str, int] = {}                         # by sentence
-        own = [self.of(rows, *bounds, known) for rows, bounds in ((self.parts, self.long), (self.plain, self.short))]
-        return np.concatenate(own)
+            x, y = x[keep], y[keep]
+        x, y = (np.concatenate([self.parts[a], b]) for a, b in zip(self.long, (x, y)))
+        self.h = run_hashes(words, x, y)
+        self.doc, self.begin, self.end = doc[x], self.at[x], self.ends_at(x, y)
 
     @staticmethod
-    def of(rows: list[tuple], first: np.ndarray, end: np.ndarray, known: dict[str, int]) -> np.ndarray:
-        if not len(first):
-            return np.zeros(0, np.uint64)
-        for r in rows:
-            if r[3] not in known:
-                known[r[3]] = xxhash.xxh3_64_intdigest(r[3].encode("utf-8", "surrogatepass"))
-        h = np.array([known[r[3]] for r in rows], np.uint64)
-        out = np.zeros(len(first), np.uint64)
-        size = end - first
-        for k in range(int(size.max())):                   # at most LEAST_WORDS sentences
-            on = size > k
-            mixed = (out[on] ^ h[first[on] + k]) * np.uint64(0x9E3779B97F4A7C15)
-            out[on] = mixed ^ (mixed >> np.uint64(29))
-        return out
+    def starts(ends: np.ndarray) -> np.ndarray:
+        return np.concatenate([[0], np.flatnonzero(ends) + 1])
+
+    @staticmethod
+    def joined_singles(ends: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """``ends`` with each row of more than ``LONG`` one-word sentences of a text as one sentence."""
+        last = np.flatnonzero(ends)
+        single = np.diff(last, prepend=-1) == 1
+        new = np.ones(len(last), bool)
+        new[1:] = (single[1:] != single[:-1]) | (doc[last[1:]] != doc[last[:-1]])
+        row = np.cumsum(new) - 1
+        many = single & (np.bincount(row, minlength=1)[row] > LONG)
+        ends = ends.copy()
+        ends[last[:-1][many[:-1] & ~new[1:]]] = False
+        return ends
+
+    def bounds(self, starts: np.ndarray, span: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+        return run_bounds(starts, np.searchsorted(starts, self.until)[self.word_doc[starts[:-1]]], span, least)
+
+    def ends_at(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The character after words x up to y and the white space after them."""
+        doc = self.word_doc[x]
+        return np.where(y == self.until[doc], self.size[doc], np.append(self.at, 0)[y])
+
+    def sentences(self, starts: np.ndarray) -> list[tuple[int, int, int]]:
+        """Start, end and number of words of each sentence."""
+        x, y = starts[:-1], starts[1:]
+        return list(zip(self.at[x].tolist(), self.ends_at(x, y).tolist(), (y - x).tolist()))
+
+
+@cache
+def kept_tables() -> tuple[np.ndarray, np.ndarray]:
+    """The tables for single texts; tasks make their own."""
+    return character_tables()
+
+
+def plain_sentences(text: str) -> list[tuple[int, int, int]]:
+    """Start, end and number of words of each sentence before long ones are cut."""
+    own = Spans([text], SPAN, kept_tables())
+    return own.sentences(own.plain)
+
+
+def sentences(text: str) -> list[tuple[int, int]]:
+    """Start and end of each sentence, the white space after it included."""
+    own = Spans([text], SPAN, kept_tables())
+    return [s[:2] for s in own.sentences(own.parts)]
 
 
 def span_hashes(text: str, span: int = SPAN) -> list[tuple[int, int]]:
     """(first sentence, hash) of each span."""
-    own = Spans(text, span)
-    return list(zip(own.long[0].tolist(), own.hashes().tolist()))
+    own = Spans([text], span, kept_tables())
+    return list(zip(own.long[0].tolist(), own.h.tolist()))
 
 
 def spans(keyed: DataFrame, span: int = SPAN) -> DataFrame:
@@ -203,25 +205,28 @@ def spans(keyed: DataFrame, span: int = SPAN) -> DataFrame:
     each text that has any one row of place -1 with its doc_id and th. A place is
     a span's first character times 2^32 and the one after its last."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = WordHashes()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables, names = character_tables(), ["row", "place", "h", "doc_id", "th"]
         for batch in batches:
+            texts, rows = batch.column("text").to_pylist(), batch.column("row").to_numpy()
             held, size = [], 0
-            for k, (row, doc, th, text) in enumerate(zip(batch["row"].tolist(), batch["doc_id"].tolist(), batch["th"].tolist(), batch["text"].tolist()), 1):
-                own = Spans(text, span, words) if text else None
-                if own is not None and len(own.place):
-                    held.append((row, doc, th, own.cuts[own.place // 2] << 32 | own.cuts[own.end], own.hashes()))
-                    size += len(held[-1][3])
-                if held and (size >= ROWS_AT_ONCE or k == len(batch)):
-                    sizes = [len(x[3]) + 1 for x in held]
-                    ids = [y for x, n in zip(held, sizes) for y in [x[1], *[None] * (n - 1)]]
-                    ths = pd.array([y for x, n in zip(held, sizes) for y in [x[2], *[pd.NA] * (n - 1)]], "Int64")
-                    yield pd.DataFrame({
-                        "row": np.repeat([x[0] for x in held], sizes), "place": np.concatenate([y for x in held for y in ([-1], x[3])]),
-                        "h": np.concatenate([y for x in held for y in (np.zeros(1, np.uint64), x[4])]).view(np.int64), "doc_id": ids, "th": ths})
-                    held, size = [], 0
-
-    return keyed.mapInPandas(run, "row long, place long, h long, doc_id string, th long")
+            for k, text in enumerate(texts, 1):
+                if text:
+                    held.append(k - 1)
+                    size += len(text)
+                if not held or (size < CHARACTERS_AT_ONCE and k < len(texts)):
+                    continue
+                own, held = Spans([texts[i] for i in held], span, tables), np.array(held)
+                named, n = held[np.unique(own.doc)], len(own.doc)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(rows[named]), pa.array(np.full(len(named), -1)), pa.array(np.zeros(len(named), np.int64)),
+                    batch.column("doc_id").take(pa.array(named)).cast(pa.string()), batch.column("th").take(pa.array(named))], names)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(rows[held[own.doc]]), pa.array(own.begin << 32 | own.end), pa.array(own.h.view(np.int64)),
+                    pa.nulls(n, pa.string()), pa.nulls(n, pa.int64())], names)
+                held, size = [], 0
+
+    return keyed.mapInArrow(run, "row long, place long, h long, doc_id string, th long")
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN) -> DataFrame:
