@@ -18,13 +18,18 @@ within reach of, as too few of their words are words of its items; this loses
 nothing. The benchmark is read in blocks of ``BLOCK_ITEMS`` items, each checked
 against all documents, so no more than a block is ever sent to tasks.
 
-With ``short_items``, as the query and the pipeline have it, items of fewer than
-``LEAST_WORDS`` words are found where all their words stand in a row, without
-edits; otherwise they count as ordinary phrases and are not searched. Items
-without a word (null and empty ones too) never are. Null and empty documents hold no item. Repeated rows
-of documents each get results; equal items under two ids are both found. An item without an id is searched, too,
-when documents are dropped; it has no row in the report, which names items by
-their ids. Ids are integers or text.
+With ``short_items`` items of fewer than ``LEAST_WORDS`` words are searched, too:
+where all their words stand in a row or, with ``short_edits``, with the same share
+of edits as others, one from five words on (the query and the pipeline have both).
+For these, pieces that stand word by word replace the walk, which loses
+nothing. Without ``short_items`` they count as ordinary phrases and are not
+searched. Items without a word (null and empty ones too) never are. Null and
+empty documents hold no item. Repeated rows of documents each get results; items
+of equal words are searched once and all their ids found. An item without an id
+is searched, too, when documents are dropped; it has no row in the report, which
+names items by their ids. Ids are integers or text. Texts and items of any length
+are read whole, in memory that grows with the longest; other columns stay as
+they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -51,6 +56,9 @@ LEAST_WORDS = 8
 CLASS_RATIO = 1.3
 BLOCK_ITEMS = 5000
 BYTES_AT_ONCE = 4_000_000
+PLACES_AT_ONCE = 1 << 18
+PAIRS_AT_ONCE = 1 << 20
+CELLS_AT_ONCE = 1 << 18     # of the table of distances
 SEED = 20
 
 
@@ -100,7 +108,9 @@ def words_of(texts: list[str | None], table: np.ndarray | None = None) -> tuple[
 class SizeClass:
     """Items of similar size, with their repetitions' walks, samples and keys."""
 
-    def __init__(self, items: list[np.ndarray], ids: list[int], seed: int, reps: int):
+    limit = None                # of edits: the share of each item's words
+
+    def __init__(self, items: list[np.ndarray], ids: list[list], seed: int, reps: int):
         self.items, self.ids = items, ids
         size = np.array([len(x) for x in items])
         edits = np.floor(size * MAX_EDITS).astype(int)
@@ -155,15 +165,19 @@ def walk(flat: np.ndarray, at: np.ndarray, end: np.ndarray, odd: np.ndarray, sam
 
 
 class ShortItems:
-    """Items of ``size`` words, which are found where they stand word by word."""
-
-    def __init__(self, size: int, items: dict[tuple[int, ...], list[int]]):
-        words = np.array(list(items), np.uint64)
-        key = self.keys(words.ravel(), size)[::size]
-        by = np.argsort(key, kind="stable")
-        self.size, self.words, self.key = size, words[by], key[by]
-        self.ids = [list(items.values())[k] for k in by]
-        self.marks = bitmap(self.key)
+    """Items of ``size`` words, too few for a walk. An item is cut into one
+    piece more than it may have edits, so that one of them stands word by word
+    wherever the item does; places of that piece are verified."""
+
+    def __init__(self, size: int, items: list[np.ndarray], ids: list[list], edits: bool):
+        self.items, self.ids, self.limit = items, ids, int(size * MAX_EDITS) if edits else 0
+        words = np.array(items, np.uint64)
+        self.pieces = []
+        for k in range(self.limit + 1):
+            a, b = k * size // (self.limit + 1), (k + 1) * size // (self.limit + 1)
+            key = self.keys(words[:, a:b].ravel(), b - a)[::b - a]
+            by = np.argsort(key, kind="stable")
+            self.pieces.append((a, b - a, key[by], by, bitmap(key)))
 
     @staticmethod
     def keys(flat: np.ndarray, size: int) -> np.ndarray:
@@ -175,41 +189,56 @@ class ShortItems:
             key = key ^ (key >> np.uint64(32))
         return key
 
-    def find(self, flat: np.ndarray, stop: np.ndarray) -> Iterator[tuple[int, int]]:
-        """(first word, item id) of the items in texts that end at ``stop``."""
-        key = self.keys(flat[:len(stop)], self.size)
-        place = np.flatnonzero(self.marks[(key >> np.uint64(48)).astype(np.int64)])
-        place = place[place + self.size <= stop[place]]
-        for lo in range(0, len(place), 65536):
-            part = place[lo:lo + 65536]
-            a, b = np.searchsorted(self.key, key[part], "left"), np.searchsorted(self.key, key[part], "right")
-            for off in range(int((b - a).max(initial=0))):         # one, unless keys collide
-                at = np.flatnonzero(a + off < b)
-                same = (self.words[a[at] + off] == flat[part[at][:, None] + np.arange(self.size)]).all(axis=1)
-                for p, k in zip(part[at[same]].tolist(), (a[at[same]] + off).tolist()):
-                    for i in self.ids[k]:
-                        yield p, i
+    def meetings(self, flat: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places and items to verify, a bounded number at a time; places lie in texts from ``begin`` to ``stop``."""
+        for a, size, keys, by, marks in self.pieces:
+            key = self.keys(flat[:len(stop)], size)
+            place = np.flatnonzero(marks[(key >> np.uint64(48)).astype(np.int64)])
+            place = place[place + size <= stop[place]]
+            low, high = np.searchsorted(keys, key[place], "left"), np.searchsorted(keys, key[place], "right")
+            place, low, n = place[high > low], low[high > low], (high - low)[high > low]
+            for lo, hi in portions(n):
+                many = n[lo:hi]
+                item = by[np.repeat(low[lo:hi] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+                at = np.repeat(place[lo:hi], many)
+                for shift in range(-self.limit, self.limit + 1) if a else (0,):
+                    first = at - a + shift
+                    keep = (first >= begin[at]) & (first < stop[at])
+                    yield first[keep], item[keep]
+
+
+def portions(n: np.ndarray, most: int = PAIRS_AT_ONCE) -> Iterator[tuple[int, int]]:
+    """Bounds of rows one after the other whose numbers ``n`` add up to ``most`` or less, or of one row."""
+    total, lo = np.cumsum(n), 0
+    while lo < len(n):
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + most, "right")))
+        yield lo, hi
+        lo = hi
 
 
 class Index:
     """A block of items, ready to be searched in documents."""
 
-    def __init__(self, items: list[tuple[int | str, str | None]], reps: int | None = None, short_items: bool = False):
+    def __init__(self, items: list[tuple[int | str, str | None]], reps: int | None = None, short_items: bool = False,
+                 short_edits: bool = False):
         self.table = character_table()
         hashes, begin = words_of([t for _, t in items], self.table)
-        rows = [(hashes[a:b], i) for (i, _), a, b in zip(items, begin, begin[1:])]
-        short: dict[int, dict[tuple[int, ...], list[int]]] = {}
-        for own, i in rows:
-            if short_items and 0 < len(own) < LEAST_WORDS:
-                short.setdefault(len(own), {}).setdefault(tuple(own.tolist()), []).append(i)
-        self.short = [ShortItems(n, own) for n, own in sorted(short.items())]
-        rows = [r for r in rows if len(r[0]) >= LEAST_WORDS]
-        rows.sort(key=lambda r: (len(r[0]), r[1]))
-        self.classes = []
+        ids: dict[bytes, list] = {}                        # items of the same words are one
+        for (i, _), a, b in zip(items, begin, begin[1:]):
+            if b - a >= (1 if short_items else LEAST_WORDS):
+                ids.setdefault(hashes[a:b].tobytes(), []).append(i)
+        rows = sorted(((np.frombuffer(w, np.uint64), own) for w, own in ids.items()), key=lambda r: (len(r[0]), r[1]))
+        self.classes: list[ShortItems | SizeClass] = []
         while rows:
-            n = next((k for k, r in enumerate(rows) if len(r[0]) > CLASS_RATIO * len(rows[0][0])), len(rows))
-            own, rows = rows[:n], rows[n:]
-            self.classes.append(SizeClass([r[0] for r in own], [r[1] for r in own], SEED + len(self.classes), reps or repetitions()))
+            least = len(rows[0][0])
+            most = least if least < LEAST_WORDS else CLASS_RATIO * least
+            n = next((k for k, r in enumerate(rows) if len(r[0]) > most), len(rows))
+            (words, own), rows = zip(*rows[:n]), rows[n:]
+            if least < LEAST_WORDS:
+                self.classes.append(ShortItems(least, list(words), list(own), short_edits))
+            else:
+                number = sum(isinstance(c, SizeClass) for c in self.classes)
+                self.classes.append(SizeClass(list(words), list(own), SEED + number, reps or repetitions()))
 
     def find(self, texts: list[str | None]) -> list[tuple[int, int, int, int]]:
         """(number of the text, item id, first word, edits) of each item in each text, its nearest and then first window."""
@@ -230,38 +259,46 @@ class Index:
         flat = np.append(hashes, np.uint64(0))
         doc = np.repeat(np.arange(len(texts)), np.diff(begin))
         stop = begin[1:][doc] if len(doc) else np.zeros(0, np.int64)
-        for own in self.short:
-            for p, i in own.find(hashes, stop):
-                yield int(doc[p]), i, int(p - begin[doc[p]]), 0
+        start = begin[:-1][doc] if len(doc) else stop
         for own in self.classes:
-            inside = own.marks[(hashes >> np.uint64(48)).astype(np.int64)]
-            look = np.flatnonzero(inside)                  # the bitmap lets a few more through
-            inside[look] = own.vocabulary[np.minimum(np.searchsorted(own.vocabulary, hashes[look]), len(own.vocabulary) - 1)] == hashes[look]
-            total = np.concatenate([[0], np.cumsum(inside)])
-            place = np.arange(len(hashes))
-            enough = place + own.least <= stop
-            enough[enough] = (total[place[enough] + own.least] - total[place[enough]]) >= own.common
-            place = np.flatnonzero(enough)
-            if not len(place):
-                continue
-            met: list[np.ndarray] = []
+            if isinstance(own, ShortItems):
+                meetings = own.meetings(hashes, start, stop)
+            else:
+                meetings = self.meetings(own, flat, hashes, stop)
+            for place, item in meetings:
+                for p, i, edits in verified(own.items, flat, stop, place, item, own.limit):
+                    for name in own.ids[i]:
+                        yield int(doc[p]), name, int(p - begin[doc[p]]), edits
+
+    def meetings(self, own: SizeClass, flat: np.ndarray, hashes: np.ndarray, stop: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places and items of a class that meet in any repetition, for a bounded number of places at a time."""
+        inside = own.marks[(hashes >> np.uint64(48)).astype(np.int64)]
+        look = np.flatnonzero(inside)                      # the bitmap lets a few more through
+        inside[look] = own.vocabulary[np.minimum(np.searchsorted(own.vocabulary, hashes[look]), len(own.vocabulary) - 1)] == hashes[look]
+        total = np.concatenate([[0], np.cumsum(inside)])
+        place = np.arange(len(hashes))
+        enough = place + own.least <= stop
+        enough[enough] = (total[place[enough] + own.least] - total[place[enough]]) >= own.common
+        every = np.flatnonzero(enough)
+        for first in range(0, len(every), PLACES_AT_ONCE):
+            place = every[first:first + PLACES_AT_ONCE]
+            met = []
             for odd, sampled, marks, keys, by in own.reps:
                 who, key = self.meet(flat, place, stop[place], odd, sampled, marks)
-                a, b = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
-                n = b - a
-                item = by[np.repeat(a - np.cumsum(n) + n, n) + np.arange(n.sum())] if n.sum() else np.zeros(0, np.int64)
-                met.append(np.repeat(place[who], n) * len(own.items) + item)
-            pairs = np.unique(np.concatenate(met))
-            at, item = pairs // len(own.items), pairs % len(own.items)
-            for i in np.unique(item):
-                here = at[item == i]
-                words = own.items[i]
-                limit = int(len(words) * MAX_EDITS)
-                for lo in range(0, len(here), 4096):
-                    part = here[lo:lo + 4096]
-                    edits = edit_distance(words, flat, part, stop[part], limit)
-                    for p, e in zip(part[edits <= limit].tolist(), edits[edits <= limit].tolist()):
-                        yield int(doc[p]), own.ids[i], int(p - begin[doc[p]]), int(e)
+                low, high = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+                who, low, n = who[high > low], low[high > low], (high - low)[high > low]
+                for lo, hi in portions(n):
+                    many = n[lo:hi]
+                    item = by[np.repeat(low[lo:hi] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+                    met.append(np.repeat(place[who[lo:hi]], many) * len(own.items) + item)
+                    if sum(map(len, met)) > PAIRS_AT_ONCE:
+                        met = [np.unique(np.concatenate(met))]
+                        if len(met[0]) > PAIRS_AT_ONCE // 2:
+                            yield met[0] // len(own.items), met[0] % len(own.items)
+                            met = []
+            if met:
+                pairs = np.unique(np.concatenate(met))
+                yield pairs // len(own.items), pairs % len(own.items)
 
     @staticmethod
     def meet(flat, place, stop, odd, sampled, marks) -> tuple[np.ndarray, np.ndarray]:
@@ -276,6 +313,24 @@ class Index:
         return who, key
 
 
+def verified(items: list[np.ndarray], flat: np.ndarray, stop: np.ndarray, place: np.ndarray, item: np.ndarray,
+             most: int | None) -> Iterator[tuple[int, int, int]]:
+    """(place, item, edits) of the pairs that are within ``most`` edits, or the item's."""
+    by = np.argsort(item, kind="stable")
+    place, item = place[by], item[by]
+    bounds = np.append(np.flatnonzero(np.diff(item, prepend=-1)), len(item))
+    for a, b in zip(bounds.tolist(), bounds[1:].tolist()):
+        i = int(item[a])
+        words = items[i]
+        limit = int(len(words) * MAX_EDITS) if most is None else most
+        rows = max(1, CELLS_AT_ONCE // (len(words) + limit))
+        for lo in range(a, b, rows):
+            part = place[lo:min(b, lo + rows)]
+            edits = edit_distance(words, flat, part, stop[part], limit)
+            for p, e in zip(part[edits <= limit].tolist(), edits[edits <= limit].tolist()):
+                yield p, i, e
+
+
 def edit_distance(words: np.ndarray, flat: np.ndarray, place: np.ndarray, stop: np.ndarray, limit: int) -> np.ndarray:
     """The least edit distance of ``words`` to a window that begins at each place."""
     width = len(words) + limit
@@ -292,7 +347,7 @@ def edit_distance(words: np.ndarray, flat: np.ndarray, place: np.ndarray, stop:
 
 
 def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", block_items: int = BLOCK_ITEMS,
-                short_items: bool = False, without_ids: bool = False) -> Iterator[Index]:
+                short_items: bool = False, without_ids: bool = False, short_edits: bool = False) -> Iterator[Index]:
     """The benchmark's items, a bounded block at a time. ``without_ids``: then
     the texts that have no id in any row, under a number of their own."""
     items = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).where("t IS NOT NULL")
@@ -303,17 +358,18 @@ def item_blocks(benchmark: DataFrame, item_col: str = "item_id", text_col: str =
         n = ceil(part.count() / block_items)
         for b in range(n):
             rows = part.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b).collect()
-            yield Index(sorted((r.i, r.t) for r in rows), short_items=short_items)
+            yield Index(sorted((r.i, r.t) for r in rows), short_items=short_items, short_edits=short_edits)
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   item_col: str = "item_id", block_items: int = BLOCK_ITEMS, short_items: bool = False) -> DataFrame:
+                   item_col: str = "item_id", block_items: int = BLOCK_ITEMS, short_items: bool = False,
+                   short_edits: bool = False) -> DataFrame:
     """(doc_id, item_id, first_word, edits) for each document and item that it holds."""
     spark, kind = docs.sparkSession, docs.schema[id_col].dataType
     item_kind = "string" if benchmark.schema[item_col].dataType == StringType() else "long"
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     out = None
-    for index in item_blocks(benchmark, item_col, text_col="text", block_items=block_items, short_items=short_items):
+    for index in item_blocks(benchmark, item_col, text_col="text", block_items=block_items, short_items=short_items, short_edits=short_edits):
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
@@ -342,10 +398,12 @@ def clean_column(text: str, index: Broadcast):
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                      block_items: int = BLOCK_ITEMS, short_items: bool = False) -> DataFrame:
+                      block_items: int = BLOCK_ITEMS, short_items: bool = False,
+                   short_edits: bool = False) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item, with or without an id."""
     context = docs.sparkSession.sparkContext
-    for index in item_blocks(benchmark, item_col, block_items=block_items, short_items=short_items, without_ids=True):
+    for index in item_blocks(benchmark, item_col, block_items=block_items, short_items=short_items, without_ids=True,
+                             short_edits=short_edits):
         flag = fresh(docs, "is_clean")
         docs = docs.withColumn(flag, clean_column(text_col, context.broadcast(index))).where(flag).drop(flag)
     return docs

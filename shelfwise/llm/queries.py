@@ -27,7 +27,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item, its place and its edits."""
-    return decontaminate.contaminations(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "benchmark"), short_items=True)
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return decontaminate.contaminations(docs, read(spark, sf_dir, "benchmark"), short_items=True, short_edits=True)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,3 +113,35 @@ def test_items_without_an_id_and_with_text_ids(spark):
     bench = spark.createDataFrame([("q-0", items[0][1]), (None, items[1][1]), ("q-9", None)], "item_id string, text string")
     assert [(r.doc_id, r.item_id, r.first_word) for r in D.contaminations(docs, bench).collect()] == [(0, "q-0", 1)]
     assert [r.doc_id for r in D.drop_contaminated(docs, bench).collect()] == [2]
+
+
+def test_short_items_have_edits_too():
+    rnd = random.Random(21)
+    items = [(i, " ".join(rnd.choices("abcdefghij", k=rnd.randrange(1, 8)))) for i in range(60)] + [(60 + i, "a b a b a b") for i in range(3)]
+    texts = [" ".join(rnd.choices("abcdefghijkl", k=rnd.randrange(0, 30))) for _ in range(300)]
+    for d in range(0, 300, 2):                             # one word changed, left out or put in
+        own = items[rnd.randrange(63)][1].split()
+        p = rnd.randrange(len(own))
+        own[p:p + rnd.randrange(2)] = ["z"] * rnd.randrange(2)
+        texts[d] += " " + " ".join(own)
+    want = {(d, i): e for d, t in enumerate(texts) for i, x in items if (e := distance(words(x), words(t))) <= int(len(words(x)) * D.MAX_EDITS)}
+    got = {(d, i): e for d, i, _, e in D.Index(items, short_items=True, short_edits=True).find(texts)}
+    assert got == want and sum(want.values()) > 50
+
+
+def test_equal_items_and_repeated_words_are_searched_in_bounds(monkeypatch):
+    monkeypatch.setattr(D, "PLACES_AT_ONCE", 100)
+    monkeypatch.setattr(D, "PAIRS_AT_ONCE", 50)
+    same = " ".join(["of"] * 20)
+    items = [(i, same) for i in range(100)] + [(200 + i, " ".join(["of"] * 18 + [f"w{i}"])) for i in range(5)]
+    index = D.Index(items)
+    assert sum(len(c.items) for c in index.classes) == 6
+    got = index.find(["of " * 3000, None, "", "of of of"])
+    assert [(d, i, p, e) for d, i, p, e in got] == [(0, i, 0, 0) for i in range(100)] + [(0, 200 + i, 0, 1) for i in range(5)]
+
+
+def test_portions_cover_all_rows():
+    for n in ([], [0], [5, 9, 0, 3], [1] * 20, [100, 1, 1]):
+        own = list(D.portions(np.array(n, np.int64), 4))
+        assert [k for lo, hi in own for k in range(lo, hi)] == list(range(len(n)))
+        assert all(hi - lo == 1 or sum(n[lo:hi]) <= 4 for lo, hi in own)
