@@ -32,7 +32,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"), short_items=True)
+    return decontaminate.drop_contaminated(docs, read(spark, sf_dir, "benchmark"), short_items=True, short_edits=True)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
