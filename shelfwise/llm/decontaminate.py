@@ -34,13 +34,14 @@ they are, whatever their names.
 
 from __future__ import annotations
 
+import pickle
 import unicodedata
 from collections.abc import Iterator
 from math import ceil, log
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -370,12 +371,13 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     rows = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     out = None
     for index in item_blocks(benchmark, item_col, text_col="text", block_items=block_items, short_items=short_items, short_edits=short_edits):
-        shared = spark.sparkContext.broadcast(index)
+        shared = spark.sparkContext.broadcast(cloudpickle.dumps(index))     # by value: workers need no copy of the class
 
         def run(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            index = pickle.loads(shared.value)
             for batch in batches:
                 ids = batch["doc_id"].tolist()
-                found = [(ids[d], i, p, e) for d, i, p, e in shared.value.find(batch["text"].tolist())]
+                found = [(ids[d], i, p, e) for d, i, p, e in index.find(batch["text"].tolist())]
                 yield pd.DataFrame(found, columns=["doc_id", "item_id", "first_word", "edits"])
 
         part = rows.mapInPandas(run, f"doc_id string, item_id {item_kind}, first_word int, edits int")
@@ -386,12 +388,13 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
 
 
 def clean_column(text: str, index: Broadcast):
-    """Whether a text holds none of the items of a block."""
+    """Whether a text holds none of the items of a block, which is broadcast as cloudpickle's bytes."""
 
     @pandas_udf("boolean")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        items = pickle.loads(index.value)
         for batch in batches:
-            held = {d for d, *_ in index.value.find(batch.tolist())}
+            held = {d for d, *_ in items.find(batch.tolist())}
             yield pd.Series([i not in held for i in range(len(batch))], dtype=bool)
 
     return run(F.col(text))
@@ -405,5 +408,5 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     for index in item_blocks(benchmark, item_col, block_items=block_items, short_items=short_items, without_ids=True,
                              short_edits=short_edits):
         flag = fresh(docs, "is_clean")
-        docs = docs.withColumn(flag, clean_column(text_col, context.broadcast(index))).where(flag).drop(flag)
+        docs = docs.withColumn(flag, clean_column(text_col, context.broadcast(cloudpickle.dumps(index)))).where(flag).drop(flag)
     return docs
