@@ -20,9 +20,10 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A write to thousands of date folders shouldn't be merged into one task,
-    # nor their listing be dealt into as many tasks.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+    # A write to thousands of date folders costs by folder, so a small load isn't
+    # merged into one task (670 folders: 22.8 s in one, 5.4 s in eight); nor is
+    # their listing dealt into as many tasks.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
     "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
     # incremental merges rewrite only the partitions they touch
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
