@@ -26,6 +26,7 @@ from shelfwise.functions.dates import ntz_lit
 from shelfwise.operators import quality
 from shelfwise.operators.dedup import top1_per_key
 from shelfwise.operators.merge import DEFAULT_WATERMARK, MergeResult, incremental_merge, late_filter
+from shelfwise.plans import checks as kept
 from shelfwise.plans import models as m
 from shelfwise.schemas import (DIM_DATES_COLUMNS, DIM_PRODUCTS_COLUMNS, DIM_SUPPLIERS_COLUMNS, FCT_COLUMNS,
                                FCT_KEY, INT_COLUMNS, INT_KEY, RAW_COLUMNS, STG_COLUMNS, STG_KEY)
@@ -61,8 +62,12 @@ def table(wh: Warehouse, name: str) -> DataFrame:
 
 
 def run_batch(spark: SparkSession, wh: Warehouse, raw_batch: DataFrame, load_id: str | int,
-              run_checks: bool = False, fail_on_violation: bool = False) -> BatchResult:
+              run_checks: bool = False, fail_on_violation: bool = False, keep_checks: bool = False) -> BatchResult:
+    """One load through all layers. ``run_checks`` counts the violations of the whole tables; ``keep_checks`` counts
+    the same from kept ones, of which it renews the dates of this load (see ``plans.checks``)."""
     res = BatchResult(str(load_id))
+    closed = kept.begin(wh)
+    raw_dates = wh.load_dates(RAW, load_id)
     raw_batch = raw_batch.select(*RAW_COLUMNS)
 
     # Late rows of this load, against the staging watermark before the merge
@@ -87,13 +92,22 @@ def run_batch(spark: SparkSession, wh: Warehouse, raw_batch: DataFrame, load_id:
         extend_dims(wh)
     else:
         refresh_dims(wh)
-    if run_checks or fail_on_violation:
+    if keep_checks:
+        kept.extend(wh, tables(wh), _touched(wh, res, raw_dates | wh.load_dates(RAW, load_id)) if closed else None)
+        res.checks = kept.summary(wh, tables(wh)).collect()
+    elif run_checks or fail_on_violation:
         res.checks = quality.summary(tables(wh)).collect()
     if fail_on_violation and any(c["n_violations"] for c in res.checks):
         raise CheckViolation([c for c in res.checks if c["n_violations"]])
     return res
 
 
+def _touched(wh: Warehouse, res: BatchResult, raw_dates: set[str]) -> dict[str, set[str]]:
+    """Dates that a load wrote, by table; the fact's checks also look at those of staging."""
+    dates = {r.table: set(wh.record(r.table)["dates"]) if r.publish is not None else set() for r in res.merges}
+    return dates | {RAW: raw_dates, FCT: dates[FCT] | dates[STG]}
+
+
 class CheckViolation(RuntimeError):
     """Checks that the layers violate after a load; its argument lists them."""
 

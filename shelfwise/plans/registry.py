@@ -18,9 +18,9 @@ from shelfwise.functions.dates import ntz_lit
 
 from shelfwise.functions import signals
 from shelfwise.operators import quality
+from shelfwise.plans import checks, pipeline
 from shelfwise.plans import insights as ins
 from shelfwise.plans import models as m
-from shelfwise.plans import pipeline
 from shelfwise.schemas import FLAT_COLUMNS, RAW_SCHEMA
 from shelfwise.session import apply_runtime_conf, scratch_dir
 from shelfwise.sources import files, landing
@@ -358,7 +358,7 @@ def incremental_run(spark, sf_dir) -> Warehouse:
         apply_runtime_conf(spark)
         wh = Warehouse(spark, scratch_dir(spark, "warehouse"))
         for i, load in enumerate(_arrival_loads(spark, sf_dir)):
-            pipeline.run_batch(spark, wh, load, load_id=f"load-{i + 1}")
+            pipeline.run_batch(spark, wh, load, load_id=f"load-{i + 1}", keep_checks=True)
             for name in CATALOG_TABLES:
                 wh.register(name)
         _INCREMENTAL_RUNS[key] = wh
@@ -380,6 +380,13 @@ def q_catalog_star(spark, sf_dir):
                      f"LEFT JOIN {pipeline.DIM_P} d ON f.product_id = d.product_id AND d.is_current")
 
 
+@register("check_summary_kept")
+def q_check_summary_kept(spark, sf_dir):
+    """The 51 checks from violations that the three loads kept by date."""
+    wh = incremental_run(spark, sf_dir)
+    return checks.summary(wh, pipeline.tables(wh))
+
+
 @register("incremental_int")
 def q_incremental_int(spark, sf_dir):
     return pipeline.table(incremental_run(spark, sf_dir), pipeline.INT)

@@ -202,6 +202,16 @@ class Warehouse:
             df = df.where(~F.col(LOAD_COLUMN).cast("string").isin(open_loads))
         return self._committed(table, df)
 
+    def read_dates(self, table: str, dates: Iterable[str]) -> DataFrame | None:
+        """Only these dates of the table (folder names, ``NO_DATE`` for rows without a time); None if it has none of them."""
+        base = self.path(table)
+        there = sorted(set(dates) & set(self._dates(table)))
+        if not there:
+            return None
+        self.folders_listed += len(there)
+        df = self.spark.read.option("basePath", base).parquet(*(f"{base}/{PARTITION_COLUMN}={d}" for d in there))
+        return self._committed(table, df.withColumn(PARTITION_COLUMN, F.col(PARTITION_COLUMN).cast("date")))
+
     def read_staged(self, staged: Staged, date: str | None = None) -> DataFrame:
         df = self.spark.read.option("basePath", staged.path)
         return df.parquet(staged.path if date is None else f"{staged.path}/{PARTITION_COLUMN}={date}")
@@ -315,6 +325,14 @@ class Warehouse:
         self._write_record(f"{self.path(table)}/_commit", {"version": version, **state})
         self._written(table)
 
+    def mark(self, table: str, **state) -> None:
+        """Changes what an unpartitioned table's record keeps beside its version."""
+        self._write_record(f"{self.path(table)}/_commit", self.record(table) | state)
+
+    def load_dates(self, table: str, load_id: str | int) -> set[str]:
+        """The dates that a load of the raw layer wrote; none before it did."""
+        return set((self._record(f"{self.path(table)}/_loads/{load_id}") or {}).get("dates", ()))
+
     # -- catalog ---------------------------------------------------------------------
 
     def register(self, table: str) -> None:
