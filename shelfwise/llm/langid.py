@@ -2,14 +2,17 @@
 
 Features are hashed runs of one to three characters of the text in lower case,
 with everything but letters turned into one space. A first set of linear
-support vector machines tells language families apart; then, within the
-family, one-versus-one machines separate the related languages. Each machine's
-score is an average of character-run weights, so a text is scored in one pass
+support vector machines tells language families apart, one for each family against
+the rest (of two families, one machine); then, within the family, one-versus-one
+machines separate the related languages. So machines grow with the number of
+languages, not with its square, as a language that ``FAMILIES`` does not name is a
+family of its own. Each machine's score is an average of character-run weights, so a text is scored in one pass
 over its characters whatever its length.
 
 Fitting takes about ``ROWS_A_LANGUAGE`` rows of each language, chosen by a
 hash of id and text; rows of equal id and text are one document given
-repeatedly and count once. Every whole text gets a prediction. A text that is null
+repeatedly and count once. A machine of a family sees at most about ``REST_ROWS`` rows of
+the rest, dealt evenly over them. Ids may be of any type. Every whole text gets a prediction. A text that is null
 or has no letter is ``und`` with score 0; so is any text if nothing was
 learned. A single learned language is always predicted.
 """
@@ -29,6 +32,7 @@ from shelfwise.llm.common import crc_remainder
 from shelfwise.llm.learning import hashed_below
 
 ROWS_A_LANGUAGE = 1500
+REST_ROWS = 6000
 SLOTS = 1 << 15
 CHARACTERS_AT_ONCE = 1_000_000
 #: Language families by ISO code; a language that isn't here is a family of its own.
@@ -80,7 +84,7 @@ def train_machine(rows: list[tuple[np.ndarray, np.ndarray]], side: np.ndarray, c
 
 
 class Model:
-    """Machines by pair of classes: families first, then languages of one family."""
+    """Machines by pair of classes, (family, None) for a family against the rest: families first, then languages of one family."""
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray, str]]):
         self.langs = sorted({r[2] for r in rows})
@@ -93,25 +97,31 @@ class Model:
         data = [(at, (n / n.sum() * scale[at])) for at, n, _ in rows]
         size = np.sqrt(np.mean([float(v @ v) for _, v in data])) if data else 1.0
         data = [(at, v / size) for at, v in data]
-        self.pairs: list[tuple[str, str]] = []
+        self.pairs: list[tuple[str, str | None]] = []
         weights = []
-        groups = [({f: f for f in self.families}, [family[r[2]] for r in rows])]
-        groups += [({x: x for x in own}, [r[2] for r in rows]) for own in self.families.values()]
-        for names, label in groups:
+        groups = [(list(self.families), [family[r[2]] for r in rows])]
+        groups += [(own, [r[2] for r in rows]) for own in self.families.values()]
+        for level, (names, label) in enumerate(groups):
             label = np.array(label)
-            for a, b in combinations(sorted(names), 2):
-                own = np.flatnonzero((label == a) | (label == b))
+            for a, b in ((f, None) for f in names) if level == 0 and len(names) > 2 else combinations(sorted(names), 2):
+                other = np.flatnonzero(label != a if b is None else label == b)
+                if b is None:
+                    other = other[::-(-len(other) // REST_ROWS)]
+                own = np.sort(np.concatenate([np.flatnonzero(label == a), other]))
                 w = train_machine([data[i] for i in own], np.where(label[own] == a, 1, -1))
                 w[:-1] *= scale / size
                 self.pairs.append((a, b))
                 weights.append(w)
         self.weights = np.array(weights).reshape(-1, SLOTS + 1).T.copy()
 
-    def choose(self, names: list[str], margin: dict[tuple[str, str], float]) -> tuple[str, float]:
-        """The class with most votes, then the largest sum of margins; its share of belief."""
+    def choose(self, names: list[str], margin: dict[tuple[str, str | None], float]) -> tuple[str, float]:
+        """The class with most votes, then the largest sum of margins, or with the largest margin against the rest; its share of belief."""
         names = sorted(names)
         if len(names) == 1:
             return names[0], 1.0
+        if (names[0], None) in margin:
+            best = max(names, key=lambda x: margin[x, None])
+            return best, 1 / (1 + float(np.exp(-4 * max(-50.0, min(50.0, margin[best, None])))))
         votes, total = dict.fromkeys(names, 0), dict.fromkeys(names, 0.0)
         for a, b in combinations(names, 2):
             m = margin[a, b]
@@ -148,7 +158,7 @@ class Model:
                 continue
             margin = dict(zip(self.pairs, row.tolist()))
             family, sure = self.choose(list(self.families), margin)
-            lang, more = self.choose(self.families[family], margin)
+            lang, more = self.choose(self.families[family], {p: m for p, m in margin.items() if p[1] is not None})
             out.append((lang, sure * more))
         return out
 
@@ -156,7 +166,7 @@ class Model:
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           rows_a_language: int = ROWS_A_LANGUAGE) -> Model:
     """Fits on rows with a language whose id's crc32 leaves 0, 1 or 3 modulo 4."""
-    known = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    known = (docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
              .where((crc_remainder("id", 4) != 2) & F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()))
     counts = {r.lang: min(r.n, r.differ) for r in known.groupBy("lang").agg(
         F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64("id", "text")).alias("differ")).collect()}
@@ -170,10 +180,10 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         for batch in batches:
             runs = [character_runs(t, letters) for t in batch["text"]]
             found = [np.unique(r, return_counts=True) for r in runs]
-            yield pd.DataFrame({"id": batch["id"].astype("int64"), "lang": batch["lang"], "at": [a.astype(np.int32) for a, _ in found],
+            yield pd.DataFrame({"id": batch["id"], "lang": batch["lang"], "at": [a.astype(np.int32) for a, _ in found],
                                 "n": [n.astype(np.int32) for _, n in found]})
 
-    rows = (chosen.select("id", "lang", "text").mapInPandas(features, "id long, lang string, at array<int>, n array<int>").collect())
+    rows = (chosen.select("id", "lang", "text").mapInPandas(features, "id string, lang string, at array<int>, n array<int>").collect())
     rows = [(r.id, r.lang, np.array(r.at, np.int64), np.array(r.n, float)) for r in rows if r.at]
     rows.sort(key=lambda r: (r[0], r[1], r[2].tobytes()))
     return Model([(at, n, lang) for _, lang, at, n in rows])

@@ -69,3 +69,19 @@ def test_families_come_first():
     model.langs, model.families = ["de", "en", "es"], {"germanic": ["de", "en"], "romance": ["es"]}
     best, _ = model.choose(["germanic", "romance"], {("germanic", "romance"): -1.0})
     assert best == "romance" and model.choose(["es"], {}) == ("es", 1.0)
+
+
+def test_machines_grow_with_the_number_of_languages_and_ids_may_be_text(spark, monkeypatch):
+    monkeypatch.setattr(L, "REST_ROWS", 40)
+    rnd, rows = random.Random(4), []
+    codes = {f"x{k:02d}": [chr(97 + k) + c for c in "aeiou"] for k in range(12)} | {"en": STEMS["en"].split(), "de": STEMS["de"].split()}
+    for i in range(560):
+        lang = list(codes)[i % len(codes)]
+        rows.append((f"id-{i}", " ".join("".join(rnd.choices(codes[lang], k=3)) for _ in range(20)), lang))
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    model = L.learn(docs)
+    assert [p for p in model.pairs if p[1] is not None] == [("de", "en")] and len(model.pairs) == 12 + 1 + 1
+    got = {r.doc_id: r for r in L.identify(docs, model).collect()}
+    held = [(got[d], x) for d, _, x in rows if got[d].held_out]
+    assert len(held) > 80 and sum(r.lang_pred == x for r, x in held) >= .95 * len(held)
+    assert all(0 <= r.score <= 1 for r in got.values())
