@@ -1,0 +1,124 @@
+"""What the layers shuffle, sort and write as tables grow."""
+
+import datetime as dt
+import glob
+import gzip
+import re
+
+import pytest
+from helpers import raw_rows
+
+from shelfwise.operators import quality
+from shelfwise.plans import models as m
+from shelfwise.plans import pipeline, registry
+from shelfwise.sources import files, landing, testdata, warehouse
+
+T1, T2 = dt.datetime(2024, 5, 4, 10), dt.datetime(2024, 5, 5, 10)
+TABLES = {
+    "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, "
+                 "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+                 [(i, i % 3, i % 2, 1, 5.0 + i, 10.0, 0.1, 0.01, "N" if i % 4 else "R", "O", T1 if i % 2 else T2) for i in range(12)]),
+    "orders": ("o_orderkey long, o_orderdate timestamp_ntz, o_orderpriority string", [(i, T1, "1-URGENT") for i in range(12)]),
+    "part": ("p_partkey long, p_name string, p_brand string, p_type string, p_size int", [(i, f"p{i}", "b", "t", 7 + i) for i in range(3)]),
+    "supplier": ("s_suppkey long, s_name string, s_nationkey int", [(i, f"s{i}", 0) for i in range(2)]),
+    "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "N", 0)]),
+    "region": ("r_regionkey int, r_name string", [(0, "R")]),
+}
+
+
+@pytest.fixture()
+def sf_dir(spark, scratch):
+    path = scratch("sf")
+    for name, (schema, rows) in TABLES.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{path}/{name}.parquet")
+    return path
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_fact_shuffles_once(spark):
+    raw = raw_rows(spark, [dict(sku="P1", ingestion_time=T1)])
+    exchanges = re.findall(r"Exchange hashpartitioning\(([^)]*)", planned(m.Marts(raw).fct))
+    assert len(exchanges) == 1 and "warehouse_region" not in exchanges[0]
+
+
+def test_signals_are_made_after_the_selection(spark):
+    raw = raw_rows(spark, [dict(sku="P1", ingestion_time=T1)])
+    below = planned(m.Marts(raw).int).split("Exchange hashpartitioning", 1)[1]
+    assert "inventory_risk_flag" not in below and "HIGH_RISK" not in below
+
+
+def test_selection_by_source_columns_is_that_of_all(spark):
+    rows = [dict(sku=f"P{i % 2}", ingestion_time=T1, stock_region="EU" if i % 3 else None, stock_quantity=i % 4 or None,
+                 stock_status=("In Stock", "Low Stock", None)[i % 3], name=None if i % 5 == 0 else "n") for i in range(24)]
+    stg = m.stg_products(raw_rows(spark, rows))
+    every = m.top1_per_key(m.inventory_signals(stg), m.INT_KEY, tie_break=[c for c in m.INT_COLUMNS if c not in m.INT_KEY])
+    key = lambda r: tuple(map(repr, r))
+    assert sorted(m.int_inventory_signals(stg).collect(), key=key) == sorted(every.collect(), key=key)
+
+
+def test_orders_are_merged_at_any_size(spark, sf_dir):
+    raw = testdata.raw_products(spark, sf_dir)
+    assert "SortMergeJoin [l_orderkey" in planned(raw) and raw.count() == 12
+
+
+def test_staging_is_written_without_a_shuffle(spark, scratch, monkeypatch):
+    wh, shuffled = warehouse.Warehouse(spark, scratch("wh")), []
+    spread = warehouse.clustered
+    monkeypatch.setattr(warehouse, "clustered", lambda df: shuffled.append(df.columns) or spread(df))
+    rows = [dict(sku=f"P{k}", ingestion_time=at) for k in range(5) for at in (T1, T2)]
+    pipeline.run_batch(spark, wh, raw_rows(spark, rows), "l")
+    assert shuffled and not any("product_description" in columns for columns in shuffled)
+    assert pipeline.table(wh, pipeline.STG).count() == 10
+
+
+def test_tables_are_written_side_by_side_and_small(spark, scratch):
+    wh = warehouse.Warehouse(spark, scratch("wh"))
+    pipeline.run_batch(spark, wh, raw_rows(spark, [dict(sku="P", ingestion_time=T1)]), "l")
+    assert int(spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")) > 0
+    for name in (pipeline.RAW, pipeline.STG, pipeline.INT, pipeline.FCT, pipeline.DIM_P):
+        written = [f for f in glob.glob(f"{wh.path(name)}/**/*.parquet", recursive=True)]
+        assert written and all(f.endswith(".zstd.parquet") for f in written)
+
+
+def test_landed_files_are_compressed_and_bounded(spark, scratch, monkeypatch):
+    monkeypatch.setattr(landing, "ENVELOPES_A_FILE", 4)
+    raw, path = raw_rows(spark, [dict(sku=f"P{i}", ingestion_time=T1) for i in range(10)]).coalesce(1), scratch("land")
+    landing.land(landing.to_envelopes(raw), path)
+    found = glob.glob(f"{path}/*.gz")
+    assert sorted(len(gzip.open(f).readlines()) for f in found) == [2, 4, 4]
+    assert landing.flatten_text(landing.read_landing(spark, path))[0].count() == 10
+
+
+def test_csv_may_be_compressed(spark, scratch):
+    raw, path = raw_rows(spark, [dict(sku="P\n1", ingestion_time=T1), dict(sku="", ingestion_time=T2)]), scratch("csv")
+    files.write_csv(raw, path, compression="gzip")
+    assert glob.glob(f"{path}/*.csv.gz")
+    assert sorted(r.sku for r in files.read_csv(spark, path).collect()) == ["", "P\n1"]
+
+
+def test_faults_are_flattened_once(spark, sf_dir):
+    assert planned(registry.REGISTRY["flatten_faults"](spark, sf_dir)).count("FileScan text") == 1
+
+
+def test_values_of_other_types_in_leaves(spark):
+    price = '{"msrp":1,"sale":"2.5","discount":%s,"currency":%s}'
+    stock, rest = '{"quantity":%s,"status":"In Stock"}', '"supplier":{"name":"S"},"reviews":{"tags":%s},"shipping":{"freeShipping":%s}'
+    cases = [("0.0", '""', '"7"', '[]', "false"), ('"0"', '"EUR"', "7.0", '"x"', '"true"'), ("true", "0", '"7.5"', '["a","b"]', '"no way"'),
+             ("[]", "false", "7.5", "5", "1"), ("{}", "[]", '"many"', "{}", "null")]
+    text = ['{"data":[{"sku":"P%d","price":%s,"stock":%s,%s}]}' % (i, price % (d, c), stock % q, rest % (t, f)) for i, (d, c, q, t, f) in enumerate(cases)]
+    res = landing.flatten(landing.envelopes(spark.createDataFrame([(x,) for x in text], "value string")))
+    got = {r._sku: (r.discount, r.currency, r.stock_quantity, r.reviews_tags, r.shipping_free_shipping, r._reject_reason) for r in res.wide.collect()}
+    assert got["P0"] == (0.0, "USD", 7, "", False, None)
+    assert got["P1"] == (0.0, "EUR", 7, "x", True, None)
+    assert got["P2"][5] == "bad_type:discount,stock_quantity,shipping_free_shipping" and got["P2"][1] == "USD" and got["P2"][3] == "a, b"
+    assert got["P3"][5] == "bad_type:stock_quantity,shipping_free_shipping" and got["P3"][:2] == (0.0, "USD") and got["P3"][3] == "5"
+    assert got["P4"][5] == "bad_type:stock_quantity" and got["P4"][:2] == (0.0, "USD") and got["P4"][3] == ""
+
+
+def test_checks_read_the_signals_once(spark):
+    raw = raw_rows(spark, [dict(sku="P1", ingestion_time=T1)])
+    rows = quality.summary(m.Marts(raw).tables(), quality.kind(quality.SUITE, "not_null"))
+    assert {r.n_violations for r in rows.collect() if r.table_name == pipeline.FCT} == {0}
