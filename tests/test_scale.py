@@ -64,6 +64,28 @@ def test_orders_are_merged_at_any_size(spark, sf_dir):
     assert "SortMergeJoin [l_orderkey" in planned(raw) and raw.count() == 12
 
 
+@pytest.mark.parametrize("name", ["avg_lead_time", "kpi_overview", "supplier_summary", "check_not_null"])
+def test_products_are_shuffled_once_a_branch(spark, sf_dir, name):
+    plan = planned(registry.REGISTRY[name](spark, sf_dir))
+    assert "hashpartitioning(sku" in plan and "SortMergeJoin [sku" in plan
+    assert "hashpartitioning(product_id" not in plan and "SortMergeJoin [l_suppkey" not in plan
+
+
+def test_products_together_give_the_same_rows(spark, scratch):
+    path = scratch("sf")
+    odd = {"lineitem": [(0, None, 0, 1, 5.0, 10.0, 0.1, 0.01, "N", "O", T1), (0, 1, 0, 1, 6.0, 10.0, 0.1, 0.01, "A", "F", None),
+                        (1, 1, None, 1, 5.0, 10.0, 0.1, 0.01, "N", "O", T1), (2, 2, 1, 1, 7.0, 10.0, 0.1, 0.01, "N", "F", T1)],
+           "part": [(1, "other", "b2", "t", 3), (None, "none", "b", "t", 1)], "supplier": [(1, "again", 0), (None, "none", 0)],
+           "orders": [(2, T2, "5-LOW"), (None, T1, "5-LOW")]}
+    for name, (schema, rows) in TABLES.items():
+        spark.createDataFrame(rows + odd.get(name, []), schema).write.parquet(f"{path}/{name}.parquet")
+    apart, together = m.Marts(testdata.raw_products(spark, path)), registry.marts(spark, path)
+    key = lambda r: tuple(map(repr, r))
+    for name, rows in apart.tables().items():
+        assert sorted(rows.collect(), key=key) == sorted(together.tables()[name].collect(), key=key), name
+    assert apart.raw.count() > apart.fct.count() > 0
+
+
 def test_staging_is_written_without_a_shuffle(spark, scratch, monkeypatch):
     wh, shuffled = warehouse.Warehouse(spark, scratch("wh")), []
     spread = warehouse.clustered
