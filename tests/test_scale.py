@@ -8,7 +8,7 @@ import re
 import pytest
 from helpers import raw_rows
 
-from shelfwise.operators import quality
+from shelfwise.operators import dedup, quality
 from shelfwise.plans import models as m
 from shelfwise.plans import pipeline, registry
 from shelfwise.sources import files, landing, testdata, warehouse
@@ -96,6 +96,39 @@ def test_staging_is_written_without_a_shuffle(spark, scratch, monkeypatch):
     assert pipeline.table(wh, pipeline.STG).count() == 10
 
 
+def test_signals_and_fact_are_written_where_they_are_read(spark, scratch, monkeypatch):
+    """Of the loads' own rows only the raw ones are dealt out anew; of signals and fact, rows of repeated keys are."""
+    wh, dealt, some = warehouse.Warehouse(spark, scratch("wh")), [], []
+    spread, few = warehouse.clustered, dedup.clustered
+    monkeypatch.setattr(warehouse, "clustered", lambda df: dealt.append(df.columns) or spread(df))
+    monkeypatch.setattr(dedup, "clustered", lambda df: some.append(df.count()) or few(df))
+    rows = [dict(sku=f"P{k}", ingestion_time=at) for k in range(20) for at in (T1, T2)]
+    twice = [dict(sku="P1", ingestion_time=T1, stock_quantity=3), dict(sku="P2", ingestion_time=T2, stock_region="US")]
+    pipeline.run_batch(spark, wh, raw_rows(spark, rows + twice), "l")
+    assert len(dealt) == 1 and "description" in dealt[0] and some == [1, 1]
+    assert pipeline.table(wh, pipeline.INT).count() == 41 and pipeline.table(wh, pipeline.FCT).count() == 40
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_selection_in_place_is_that_of_all(spark, monkeypatch, most):
+    monkeypatch.setattr(dedup, "MOST_REPEATED", most)
+    rows = [dict(sku=None if i % 7 == 0 else f"P{i % 20}", ingestion_time=(T1, T2, None)[i % 3], stock_region="EU" if i % 4 else None,
+                 stock_quantity=i % 5 or None, name=None if i % 6 == 0 else "n") for i in range(90)]
+    rows += [dict(sku="P1", ingestion_time=T1, stock_region="US")] * 30 + [dict(sku=f"Q{i}", ingestion_time=T2) for i in range(30)]
+    stg = m.stg_products(raw_rows(spark, rows))
+    signals, in_place = m.int_inventory_signals(stg), m.int_inventory_signals(stg, choose=dedup.top1_in_place)
+    key = lambda r: tuple(map(repr, r))
+    assert sorted(in_place.collect(), key=key) == sorted(signals.collect(), key=key)
+    assert sorted(m.fct_inventory(signals, choose=dedup.top1_in_place).collect(), key=key) == sorted(m.fct_inventory(signals).collect(), key=key)
+    assert 0 < signals.count() < len(rows)
+
+
+def test_rows_whose_key_comes_once_are_not_shuffled(spark):
+    stg = m.stg_products(raw_rows(spark, [dict(sku=f"P{i}", ingestion_time=T1) for i in range(8)]))
+    once = planned(dedup.top1_in_place(stg, m.FCT_KEY)).split("Union", 1)[1].split("LeftSemi")[0]
+    assert "LeftAnti" in once and "Exchange RebalancePartitions" not in once.split("LeftAnti")[0]
+
+
 def test_tables_are_written_side_by_side_and_small(spark, scratch):
     wh = warehouse.Warehouse(spark, scratch("wh"))
     pipeline.run_batch(spark, wh, raw_rows(spark, [dict(sku="P", ingestion_time=T1)]), "l")
