@@ -11,6 +11,7 @@ from helpers import raw_rows
 from shelfwise.operators import dedup, quality
 from shelfwise.plans import models as m
 from shelfwise.plans import pipeline, registry
+from shelfwise.session import apply_runtime_conf
 from shelfwise.sources import files, landing, testdata, warehouse
 
 T1, T2 = dt.datetime(2024, 5, 4, 10), dt.datetime(2024, 5, 5, 10)
@@ -129,6 +130,15 @@ def test_rows_whose_key_comes_once_are_not_shuffled(spark):
     assert "LeftAnti" in once and "Exchange RebalancePartitions" not in once.split("LeftAnti")[0]
 
 
+def test_tasks_are_small_in_any_session(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    apply_runtime_conf(session)
+    size = session._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    assert size(session.conf.get("spark.sql.files.maxPartitionBytes")) <= 32 << 20
+    assert size(session.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")) <= 16 << 20
+
+
 def test_tables_are_written_side_by_side_and_small(spark, scratch):
     wh = warehouse.Warehouse(spark, scratch("wh"))
     pipeline.run_batch(spark, wh, raw_rows(spark, [dict(sku="P", ingestion_time=T1)]), "l")
