@@ -7,6 +7,7 @@ import re
 
 import pytest
 from helpers import raw_rows
+from pyspark.sql import functions as F
 
 from shelfwise.operators import dedup, quality
 from shelfwise.plans import models as m
@@ -187,3 +188,13 @@ def test_checks_read_the_signals_once(spark):
     raw = raw_rows(spark, [dict(sku="P1", ingestion_time=T1)])
     rows = quality.summary(m.Marts(raw).tables(), quality.kind(quality.SUITE, "not_null"))
     assert {r.n_violations for r in rows.collect() if r.table_name == pipeline.FCT} == {0}
+
+
+def test_runs_land_compressed_and_replace_their_own(spark, scratch):
+    raw, base = raw_rows(spark, [dict(sku="P\n1", ingestion_time=T1), dict(sku="", ingestion_time=T2)]), scratch("runs")
+    run_id = F.concat(F.lit("a b:"), F.date_format("ingestion_time", "dd"))
+    files.land_runs(raw, base, run_id)
+    files.land_runs(raw.filter("sku = ''"), base, run_id)
+    found = glob.glob(f"{base}/run_id=*/*.csv*")
+    assert len(found) == 2 and all(f.endswith(".csv.gz") for f in found)
+    assert sorted((r.run_id, r.sku) for r in files.read_runs(spark, base).collect()) == [("a_b_04", "P\n1"), ("a_b_05", "")]
