@@ -5,6 +5,7 @@ import json
 import os
 
 from shelfwise.plans import pipeline as P
+from shelfwise.sources import landing
 from shelfwise.sources.warehouse import Warehouse
 from shelfwise.streaming import microbatch
 
@@ -73,3 +74,15 @@ def test_counts_outlive_the_driver_and_a_timed_trigger_runs(spark, scratch):
     counts = {r.batch_id: (r.accepted, r.skipped, r.defaulted, r.late, r.no_time) for r in microbatch.load_counts(spark, again).collect()}
     assert counts == {0: (1, 1, 1, 0, 0), 1: (1, 0, 1, 0, 0)}
     assert sorted(r.product_id for r in P.table(Warehouse(spark, wh.root), P.FCT).collect()) == ["A", "B"]
+
+
+def test_flattened_rows_are_kept_beside_the_tables_while_a_batch_runs(spark, scratch, monkeypatch):
+    landing_dir, wh, read = scratch("landing"), Warehouse(spark, scratch("wh")), []
+    split = landing.split
+    monkeypatch.setattr(landing, "split", lambda wide, *a: read.append((wide._jdf.queryExecution().executedPlan().toString(), wide.count())) or split(wide, *a))
+    land(landing_dir, "a.json", [envelope("A", "2024-01-01T08:00:00.000Z"), envelope("X", "2024-01-01T08:00:00.000Z", status=None)])
+    microbatch.drain(spark, landing_dir, wh, scratch("ckpt"))
+    plan, rows = read[-1]
+    assert rows == 2 and "FileScan parquet" in plan and "InMemoryTableScan" not in plan and "Scan ExistingRDD" not in plan
+    assert not os.listdir(f"{wh.root}/_staged/flattened")
+    assert P.table(wh, P.RAW).count() == 1 and spark.read.parquet(wh.path("raw.rejects")).count() == 1
