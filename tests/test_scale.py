@@ -198,3 +198,10 @@ def test_runs_land_compressed_and_replace_their_own(spark, scratch):
     found = glob.glob(f"{base}/run_id=*/*.csv*")
     assert len(found) == 2 and all(f.endswith(".csv.gz") for f in found)
     assert sorted((r.run_id, r.sku) for r in files.read_runs(spark, base).collect()) == [("a_b_04", "P\n1"), ("a_b_05", "")]
+
+
+@pytest.mark.parametrize("text, members", [("{}", None), ('{"a":1}', '"a":1'), ('{"a":{"é":"{}"}}', '"a":{"é":"{}"}'), (None, None), ('{"a":"日本"}', '"a":"日本"')])
+def test_members_of_a_text_are_cut_as_bytes(spark, text, members):
+    df = spark.createDataFrame([(text,)], "t string").select(testdata._members(F.col("t")).alias("m"))
+    assert df.first().m == members
+    assert "substring(cast(" in df._jdf.queryExecution().analyzed().toString()
